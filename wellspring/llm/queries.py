@@ -12,7 +12,7 @@ from wellspring.plans.tables import table
 
 DIMS = 64
 #: the ten nearest of isotropic vectors are hard to tell from the rest: half of the leaves are searched
-WIDE = ForestPlan(trees=8, leaf_rows=1_024, leaf_share=1 / 64, probes=40)
+WIDE = ForestPlan(trees=8, leaf_rows=1_024, leaf_share=1 / 64, probes=56)
 QUERY_SET = 50
 
 
