@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from wellspring.functions.keys import perturbation_key, plate_number
 from wellspring.llm.clusters import describe, linked_clusters, ward_division
+from wellspring.llm.leakage import find_leaks
 from wellspring.llm.neighbours import ForestPlan, nearest, nearest_exact, pairs_above, unit_vectors
+from wellspring.llm.truncation import find_truncated
 from wellspring.plans.tables import table
 
 DIMS = 64
@@ -77,5 +79,36 @@ def p2_compared(spark: SparkSession, folder: str) -> DataFrame:
     return out
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_neighbours, p1_recall, p2_found, p2_clusters, p2_division, p2_compared)}
+def _leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"), "doc_id", "text", "item_id", "text")
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _leaks(spark, folder).select("doc_id", "item_id")
+
+
+def p7_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Every item with the number of documents it leaked into and the longest shared run."""
+    leaks = _leaks(spark, folder).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_documents"), F.max("n_words").alias("longest_run"))
+    return table(spark, folder, "eval_items").select("item_id", "task", "lang").join(leaks, "item_id", "left").fillna(0, ["n_documents", "longest_run"])
+
+
+def _truncated(spark: SparkSession, folder: str) -> DataFrame:
+    return find_truncated(table(spark, folder, "documents"), "doc_id", "text", "source")
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _truncated(spark, folder).filter("truncated").select("doc_id")
+
+
+def p9_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """Rate of cut mails per source, by kind of evidence."""
+    n = lambda c: F.count_if(c).alias
+    return _truncated(spark, folder).groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_mails"), n(F.col("truncated"))("n_cut"), n(F.col("missing").isNotNull())("n_structure"), n(F.col("truncated") & F.col("word_cut"))("n_within_word"),
+        n(F.col("truncated") & F.col("at_limit"))("n_at_limit"), F.round(F.avg(F.col("truncated").cast("int")), 6).alias("cut_rate"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_neighbours, p1_recall, p2_found, p2_clusters, p2_division, p2_compared, p7_found, p7_items, p9_found, p9_rates)}
 ORACLES: dict[str, str] = {}
