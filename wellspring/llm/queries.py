@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellspring.functions.keys import perturbation_key, plate_number
+from wellspring.functions.keys import perturbation_key, plate_number, well_name
 from wellspring.llm.clusters import describe, linked_clusters, ward_division
 from wellspring.llm.leakage import find_leaks
+from wellspring.llm.mixing import mix
 from wellspring.llm.neighbours import ForestPlan, nearest, nearest_exact, pairs_above, unit_vectors
+from wellspring.llm.percentiles import combine, percentiles, sketch
 from wellspring.llm.truncation import find_truncated
 from wellspring.plans.tables import table
 
@@ -79,6 +81,60 @@ def p2_compared(spark: SparkSession, folder: str) -> DataFrame:
     return out
 
 
+CELL_FEATURES = [
+    "AreaShape_Area", "AreaShape_MedianRadius", "Intensity_MedianIntensity_Syto", "Intensity_MedianIntensity_ER",
+    "Intensity_MedianIntensity_Golgi", "Intensity_MedianIntensity_Mito", "Texture_Contrast_Mito_3_02_256",
+]
+AT = [0.01, 0.05, 0.25, 0.50, 0.75, 0.95, 0.99]
+AT_NAMES = ["p01", "p05", "p25", "p50", "p75", "p95", "p99"]
+
+
+def _daily(spark: SparkSession, folder: str) -> DataFrame:
+    keys = [F.to_date("exported_at").alias("day"), plate_number(F.col("Metadata_Plate")).alias("plate"), well_name(F.col("Metadata_Well")).alias("well"), perturbation_key(F.col("Metadata_Perturbation")).alias("perturbation")]
+    return sketch(table(spark, folder, "cells"), keys, CELL_FEATURES)
+
+
+def p4_percentiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Percentiles per plate, per perturbation and per plate and well, combined from the export days' sketches.
+
+    Relative error at most 1 %.  Rows without a valid key are left out of the
+    groupings by that key.
+    """
+    groups = F.array(
+        F.when(F.col("plate").isNotNull(), F.struct(F.lit("plate").alias("by"), "plate", F.lit(None).cast("string").alias("well"), F.lit(None).cast("string").alias("perturbation"))),
+        F.when(F.col("perturbation").isNotNull(), F.struct(F.lit("perturbation").alias("by"), F.lit(None).cast("long").alias("plate"), F.lit(None).cast("string").alias("well"), "perturbation")),
+        F.when(F.col("plate").isNotNull() & F.col("well").isNotNull(), F.struct(F.lit("plate_well").alias("by"), "plate", "well", F.lit(None).cast("string").alias("perturbation"))),
+    )
+    spread = _daily(spark, folder).select(F.explode(F.array_compact(groups)).alias("g"), "feature", "bucket", "n").select("g.*", "feature", "bucket", "n")
+    keys = ["by", "plate", "well", "perturbation"]
+    return percentiles(combine(spread, keys), keys, AT, AT_NAMES)
+
+
+def p4_daily(spark: SparkSession, folder: str) -> DataFrame:
+    """Percentiles per export day and plate, from the same sketches."""
+    days = _daily(spark, folder).filter("plate is not null")
+    return percentiles(combine(days, ["day", "plate"]), ["day", "plate"], AT, AT_NAMES)
+
+
+def p4_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """The combinable result of each export day, per plate: bucket counts."""
+    return combine(_daily(spark, folder).filter("plate is not null"), ["day", "plate"])
+
+
+def _mixed(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    return mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets"), "doc_id", "source", "text")
+
+
+def p8_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per copy of a chosen document."""
+    return _mixed(spark, folder)[0]
+
+
+def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """Target and actual share of all tokens per source."""
+    return _mixed(spark, folder)[1]
+
+
 def _leaks(spark: SparkSession, folder: str) -> DataFrame:
     return find_leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"), "doc_id", "text", "item_id", "text")
 
@@ -110,5 +166,5 @@ def p9_rates(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_neighbours, p1_recall, p2_found, p2_clusters, p2_division, p2_compared, p7_found, p7_items, p9_found, p9_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_neighbours, p1_recall, p2_found, p2_clusters, p2_division, p2_compared, p4_percentiles, p4_daily, p4_sketches, p7_found, p7_items, p8_mix, p8_shares, p9_found, p9_rates)}
 ORACLES: dict[str, str] = {}
