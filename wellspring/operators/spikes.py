@@ -17,9 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
+from wellspring.operators.stats import median_and_mad, number_rows
 from wellspring.session import cut
 
 NORMAL, SPIKE, STUCK, OUT = range(4)
@@ -174,33 +173,6 @@ def _decode_sources(bounds: dict[str, tuple[float, float]], rule: SpikeRule) ->
     return run
 
 
-def selected(df: DataFrame, keys: list[str], value: str, ranks: DataFrame) -> DataFrame:
-    """Exact order statistics per group without gathering a group.
-
-    ``ranks`` has ``keys`` and ``rank`` (from 0).  Values are counted by their
-    leading bits, the bucket holding each rank is found from the counts, and
-    only that bucket's distinct values are ordered.
-    """
-    # half-precision logarithmic buckets: monotone in the value
-    bucket = F.signum(value) * F.floor(F.log1p(F.abs(F.col(value)) * 1e6) * 256)
-    counted = df.select(*keys, F.col(value).alias("v"), bucket.alias("b")).groupBy(*keys, "b", "v").count()
-    coarse = counted.groupBy(*keys, "b").agg(F.sum("count").alias("n"))
-    before = F.sum("n").over(Window.partitionBy(*keys).orderBy("b").rowsBetween(Window.unboundedPreceding, -1))
-    placed = coarse.withColumn("before", F.coalesce(before, F.lit(0)))
-    target = placed.join(ranks, keys).filter("rank >= before and rank < before + n").select(*keys, "b", "rank", (F.col("rank") - F.col("before")).alias("within"))
-    fine = counted.join(target.select(*keys, "b").distinct(), [*keys, "b"], "left_semi")
-    upto = F.sum("count").over(Window.partitionBy(*keys, "b").orderBy("v"))
-    return fine.withColumn("upto", upto).join(target, [*keys, "b"]).filter("within < upto and within >= upto - count").select(*keys, "rank", "v")
-
-
-def exact_median(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    """Median per group by :func:`selected`; ``n`` is the number of values."""
-    sizes = cut(df.groupBy(*keys).agg(F.count(value).alias("n")))
-    half = [F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)]
-    ranks = sizes.select(*keys, F.explode(F.array_distinct(F.array(*half))).alias("rank"))
-    return selected(df, keys, value, ranks).groupBy(*keys).agg(F.avg("v").alias(name)).join(sizes, keys)
-
-
 def _decode_chunks(bounds: dict[str, tuple[float, float]], rule: SpikeRule) -> Callable:
     names = list(bounds)
 
@@ -230,22 +202,11 @@ def _large_sources(df: DataFrame, bounds: dict[str, tuple[float, float]], rule:
     long = df.select("row_id", "source", "time", cells.alias("c")).select("row_id", "source", "time", "c.series", "c.value").filter("value is not null and not isnan(value)")
     finite = long.filter(F.abs("value") < float("inf"))
     keys = ["source", "series"]
-    center = cut(exact_median(finite, keys, "value", "center"))
-    spread = finite.join(center, keys).withColumn("off", F.abs(F.col("value") - F.col("center")))
-    stats = cut(center.join(exact_median(spread, keys, "off", "mad").drop("n"), keys))
-    ordered = cut(long.repartitionByRange(*keys, "time", "row_id").sortWithinPartitions(*keys, "time", "row_id").withColumn("mark", F.monotonically_increasing_id()))
-    # position in the whole order: rows per partition are few numbers, one per partition
-    ordered = ordered.withColumn("part", F.shiftright("mark", 33))
-    sizes = sorted((r["part"], r["count"]) for r in ordered.groupBy("part").count().collect())
-    starts, total = [], 0
-    for part, n in sizes:
-        starts.append((part, total))
-        total += n
-    offsets = F.broadcast(df.sparkSession.createDataFrame(starts or [(0, 0)], "part long, offset long"))
-    at = F.col("offset") + F.col("mark").bitwiseAND(F.lit((1 << 33) - 1))
+    stats = cut(median_and_mad(finite, keys, "value").withColumnRenamed("med", "center"))
+    ordered = number_rows(long, [*keys, "time", "row_id"], "at")
     chunk, place = F.floor(F.col("at") / rule.chunk), F.col("at") % rule.chunk
     copies = F.array_compact(F.array(chunk, F.when(place < rule.context, chunk - 1), F.when(place >= rule.chunk - rule.context, chunk + 1)))
-    spread_out = ordered.join(offsets, "part").withColumn("at", at).withColumn("chunk", F.explode(copies)).join(stats, keys)
+    spread_out = ordered.withColumn("chunk", F.explode(copies)).join(stats, keys)
     return spread_out.select("at", "chunk", "row_id", "source", "series", "value", "center", "mad", "n").groupBy("chunk").applyInArrow(_decode_chunks(bounds, rule), FOUND)
 
 
