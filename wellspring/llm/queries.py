@@ -10,7 +10,7 @@ from wellspring.llm.clusters import describe, linked_clusters, ward_division
 from wellspring.llm.leakage import find_leaks
 from wellspring.llm.mixing import mix
 from wellspring.llm.neighbours import ForestPlan, nearest, nearest_exact, pairs_above, unit_vectors
-from wellspring.llm.percentiles import combine, percentiles, sketch
+from wellspring.llm.percentiles import combine, count_values, percentiles
 from wellspring.llm.truncation import find_truncated
 from wellspring.plans.tables import table
 
@@ -89,9 +89,15 @@ AT = [0.01, 0.05, 0.25, 0.50, 0.75, 0.95, 0.99]
 AT_NAMES = ["p01", "p05", "p25", "p50", "p75", "p95", "p99"]
 
 
-def _daily(spark: SparkSession, folder: str) -> DataFrame:
+KEYS = ["plate", "well", "perturbation"]
+GROUPINGS = {"plate": ["day", "plate"], "perturbation": ["day", "perturbation"], "plate_well": ["day", "plate", "well"]}
+
+
+def p4_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """The combinable result of each export day: bucket counts per plate, per perturbation and per plate and well."""
     keys = [F.to_date("exported_at").alias("day"), plate_number(F.col("Metadata_Plate")).alias("plate"), well_name(F.col("Metadata_Well")).alias("well"), perturbation_key(F.col("Metadata_Perturbation")).alias("perturbation")]
-    return sketch(table(spark, folder, "cells"), keys, CELL_FEATURES)
+    cells = table(spark, folder, "cells").select(*keys, *CELL_FEATURES)
+    return combine(count_values(cells, ["day", *KEYS], GROUPINGS, CELL_FEATURES), ["day", *KEYS])
 
 
 def p4_percentiles(spark: SparkSession, folder: str) -> DataFrame:
@@ -100,25 +106,12 @@ def p4_percentiles(spark: SparkSession, folder: str) -> DataFrame:
     Relative error at most 1 %.  Rows without a valid key are left out of the
     groupings by that key.
     """
-    groups = F.array(
-        F.when(F.col("plate").isNotNull(), F.struct(F.lit("plate").alias("by"), "plate", F.lit(None).cast("string").alias("well"), F.lit(None).cast("string").alias("perturbation"))),
-        F.when(F.col("perturbation").isNotNull(), F.struct(F.lit("perturbation").alias("by"), F.lit(None).cast("long").alias("plate"), F.lit(None).cast("string").alias("well"), "perturbation")),
-        F.when(F.col("plate").isNotNull() & F.col("well").isNotNull(), F.struct(F.lit("plate_well").alias("by"), "plate", "well", F.lit(None).cast("string").alias("perturbation"))),
-    )
-    spread = _daily(spark, folder).select(F.explode(F.array_compact(groups)).alias("g"), "feature", "bucket", "n").select("g.*", "feature", "bucket", "n")
-    keys = ["by", "plate", "well", "perturbation"]
-    return percentiles(combine(spread, keys), keys, AT, AT_NAMES)
+    return percentiles(combine(p4_sketches(spark, folder), KEYS), KEYS, AT, AT_NAMES)
 
 
 def p4_daily(spark: SparkSession, folder: str) -> DataFrame:
-    """Percentiles per export day and plate, from the same sketches."""
-    days = _daily(spark, folder).filter("plate is not null")
-    return percentiles(combine(days, ["day", "plate"]), ["day", "plate"], AT, AT_NAMES)
-
-
-def p4_sketches(spark: SparkSession, folder: str) -> DataFrame:
-    """The combinable result of each export day, per plate: bucket counts."""
-    return combine(_daily(spark, folder).filter("plate is not null"), ["day", "plate"])
+    """Percentiles of each export day, from the same sketches."""
+    return percentiles(p4_sketches(spark, folder), ["day", *KEYS], AT, AT_NAMES)
 
 
 def _mixed(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
