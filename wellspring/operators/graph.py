@@ -45,8 +45,85 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return state
 
 
-def communities(nodes: DataFrame, edges: DataFrame, rounds: int = 12) -> DataFrame:
-    """``grp, label, community``: label propagation by edge weight, deterministic.
+def _local_moving(weights: dict[int, dict[int, float]], loops: dict[int, float]) -> dict[int, int]:
+    """One level of modularity optimisation: nodes move to the neighbouring community of largest gain until none gains."""
+    degree = {v: sum(near.values()) + 2 * loops.get(v, 0.0) for v, near in weights.items()}
+    total = sum(degree.values()) or 1.0
+    home = {v: v for v in weights}
+    mass = dict(degree)
+    moved = True
+    while moved:
+        moved = False
+        for v in sorted(weights):
+            mass[home[v]] -= degree[v]
+            toward: dict[int, float] = {home[v]: 0.0}
+            for u, w in weights[v].items():
+                toward[home[u]] = toward.get(home[u], 0.0) + w
+            best = max(sorted(toward), key=lambda c: (round(toward[c] - degree[v] * mass[c] / total, 12), c == home[v]))
+            moved |= best != home[v]
+            home[v] = best
+            mass[best] += degree[v]
+    return home
+
+
+def _communities_of(edges: list[tuple[str, str, float]]) -> dict[str, str]:
+    """Modularity communities of one graph, each named after its smallest label."""
+    names = sorted({x for a, b, _ in edges for x in (a, b)})
+    at = {x: i for i, x in enumerate(names)}
+    weights: dict[int, dict[int, float]] = {i: {} for i in range(len(names))}
+    for a, b, w in edges:
+        weights[at[a]][at[b]] = weights[at[b]][at[a]] = w
+    member = list(range(len(names)))
+    loops: dict[int, float] = {}
+    while True:
+        home = _local_moving(weights, loops)
+        if len(set(home.values())) == len(home):
+            break
+        member = [home[m] for m in member]
+        joined: dict[int, dict[int, float]] = {c: {} for c in set(home.values())}
+        inner: dict[int, float] = {}
+        for v, near in weights.items():
+            inner[home[v]] = inner.get(home[v], 0.0) + loops.get(v, 0.0)
+            for u, w in near.items():
+                if home[u] == home[v]:
+                    inner[home[v]] += w / 2
+                else:
+                    joined[home[v]][home[u]] = joined[home[v]].get(home[u], 0.0) + w
+        weights, loops = joined, inner
+    first: dict[int, str] = {}
+    for name, c in zip(names, member):
+        first.setdefault(c, name)
+    return {name: first[c] for name, c in zip(names, member)}
+
+
+#: edges of a group that one task takes; larger graphs are settled by label propagation over DataFrames
+GRAPH_EDGES = 2_000_000
+
+
+def communities(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``grp, label, community``: deterministic modularity optimisation per group; singletons keep their own label.
+
+    Nodes move to the neighbouring community of largest gain, communities are
+    joined to nodes, and so on until nothing gains (not the Leiden method, whose
+    refinement is left out).  Communities are named after their smallest label.
+    """
+    large = edges.groupBy("grp").count().filter(F.col("count") > GRAPH_EDGES).select("grp")
+    large = cut(large)
+
+    def settle(pdf):
+        import pandas as pd
+
+        found = _communities_of(list(zip(pdf.label_a, pdf.label_b, pdf.similarity)))
+        return pd.DataFrame({"grp": pdf.grp.iloc[0], "label": list(found), "community": list(found.values())})
+
+    small = edges.select("grp", "label_a", "label_b", "similarity").join(large, "grp", "left_anti").groupBy("grp").applyInPandas(settle, "grp string, label string, community string")
+    if not large.isEmpty():
+        small = small.unionByName(propagated_communities(nodes.join(large, "grp", "left_semi"), edges.join(large, "grp", "left_semi")))
+    return nodes.select("grp", "label").join(small, ["grp", "label"], "left").withColumn("community", F.coalesce("community", "label"))
+
+
+def propagated_communities(nodes: DataFrame, edges: DataFrame, rounds: int = 12) -> DataFrame:
+    """``grp, label, community``: label propagation by edge weight, deterministic, for graphs of any size.
 
     Every node starts alone; in each round one half of the nodes (by a fixed
     hash, alternating) moves to the community that most of its neighbours'

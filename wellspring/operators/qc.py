@@ -93,7 +93,7 @@ def mad_scores(wells: DataFrame, group: list[str], least: int = 4) -> DataFrame:
     keys = [*group, "metric", "channel"]
     stats = median_and_mad(wells.filter("value is not null"), keys, "value").filter(F.col("n") >= least)
     scored = wells.join(stats.select(*keys, "med", "mad"), keys, "left")
-    return scored.withColumn("score", F.round((F.col("value") - F.col("med")) / F.coalesce(F.nullif(F.col("mad"), F.lit(0.0)), F.lit(1.0)), 2)).drop("med", "mad")
+    return scored.withColumn("score", F.round((F.col("value") - F.col("med")) / F.coalesce(F.nullif(F.col("mad"), F.lit(0.0)), F.lit(1.0)), 2) + 0.0).drop("med", "mad")
 
 
 def cohort_range(long: DataFrame, keys: list[str], floor: float | None = None, ceiling: float | None = None) -> DataFrame:

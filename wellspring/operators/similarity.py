@@ -109,7 +109,7 @@ def replicate_similarity(rows: DataFrame, dims: int) -> DataFrame:
     """``label, n, mean_sim, std_sim`` over each label's pairs (population deviation; null without pairs)."""
     m = label_moments(rows, ["label"], dims)
     mean = F.try_divide("total", "n_pairs")
-    spread = F.sqrt(F.greatest(F.lit(0.0), F.try_divide("squares", "n_pairs") - mean * mean))
+    spread = F.when(F.col("n_pairs") > 0, F.sqrt(F.greatest(F.lit(0.0), F.try_divide("squares", "n_pairs") - mean * mean)))
     return m.select("label", "n", F.round(mean, 6).alias("mean_sim"), F.round(spread, 6).alias("std_sim"))
 
 

@@ -65,7 +65,8 @@ def outlier_report_top20(spark, folder):
 
 
 def winsorize_bounds(spark, folder):
-    return quantiles(cells_long(spark, folder), ["feature"], "value", {"lo": 0.05, "hi": 0.95})
+    found = quantiles(cells_long(spark, folder), ["feature"], "value", {"lo": 0.05, "hi": 0.95})
+    return found.withColumn("lo", F.round("lo", 9)).withColumn("hi", F.round("hi", 9))
 
 
 def winsorized_means(spark, folder):
@@ -202,7 +203,7 @@ SELECT plate, perturbation, feature, round(CASE WHEN n >= 2 THEN 0.6745 * (value
 (SELECT s.* FROM (SELECT l.plate, l.well, l.feature, (value - m) / (d + 1e-8) AS score FROM (SELECT * FROM long WHERE plate IS NOT NULL AND well IS NOT NULL) l JOIN
 (SELECT feature, m, median(abs(value - m)) AS d FROM (SELECT * FROM long WHERE plate IS NOT NULL AND well IS NOT NULL) JOIN (SELECT feature, median(value) AS m FROM long WHERE plate IS NOT NULL AND well IS NOT NULL GROUP BY 1) USING (feature) GROUP BY 1, 2) USING (feature)) s WHERE abs(score) > 5)
 GROUP BY 1, 2 ORDER BY n_outliers DESC, plate, well LIMIT 20""",
-    "winsorize_bounds": f"WITH {_LONG} SELECT feature, count(*) AS n, quantile_cont(value, 0.05) AS lo, quantile_cont(value, 0.95) AS hi FROM long GROUP BY 1",
+    "winsorize_bounds": f"WITH {_LONG} SELECT feature, count(*) AS n, round(quantile_cont(value, 0.05), 9) AS lo, round(quantile_cont(value, 0.95), 9) AS hi FROM long GROUP BY 1",
     "winsorized_means": f"WITH {_LONG}, q AS (SELECT feature, quantile_cont(value, 0.05) AS a, quantile_cont(value, 0.95) AS b FROM long GROUP BY 1) SELECT feature, round(avg(greatest(least(value, b), a)), 6) AS mean, round(min(greatest(least(value, b), a)), 6) AS lo, round(max(greatest(least(value, b), a)), 6) AS hi FROM long JOIN q USING (feature) GROUP BY 1",
     "variance_threshold": f"""WITH {_LONG}, c AS (SELECT feature, value, count(*) AS n FROM long GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY n DESC, value) AS k FROM c),
 t AS (SELECT feature, coalesce(max(n) FILTER (k = 2), 0) / max(n) FILTER (k = 1) AS freq_ratio, count(*) / sum(n) AS unique_ratio FROM r GROUP BY 1)
