@@ -76,7 +76,7 @@ def abnormal_probability(series: list[np.ndarray], center: np.ndarray, scale: np
     e[..., OUT] = np.where(out, 1.0, 1e-15)
     e[~valid] = 1.0
     leave, stay = rule.leave_normal, rule.stay
-    move = np.array([[1 - 3 * leave, leave, leave, leave]] + [[1 - stay if j == 0 else stay if j == i else 1e-6 for j in range(4)] for i in (1, 2, 3)])
+    move = np.array([[1 - 3 * leave, leave, leave, leave]] + [[1 - stay if j == 0 else stay if j == i else (1 - stay) / 10 for j in range(4)] for i in (1, 2, 3)])
     move /= move.sum(1, keepdims=True)
     steps = len(x)
     forward = np.empty_like(e)
