@@ -62,16 +62,14 @@ def _fields(df: DataFrame, keys: list[str]) -> str:
     return ", ".join(f"`{k}` {kinds[k]}" for k in keys)
 
 
-def count_values(df: DataFrame, keys: list[str], groupings: dict[str, list[str]], values: list[str], error: float = ERROR) -> DataFrame:
+def count_values(df: DataFrame, keys: list[str], groupings: dict[str, list[str]], values: list[str], error: float = ERROR, open_keys: tuple[str, ...] = ()) -> DataFrame:
     """Sketches of each task's rows for every grouping: ``by, *keys, feature, buckets, counts``.
 
     ``groupings`` names lists of keys; keys outside a grouping come out null, and
-    rows with a null key of a grouping are left out of it, save keys that all
-    groupings share (such as a day), where null is a key of its own.  Null and
-    NaN values are left out; infinite values get buckets of their own.  An empty
+    rows with a null key of a grouping are left out of it, save ``open_keys``
+    (such as a day), where null is a key of its own.  Null and NaN values are left out; infinite values get buckets of their own.  An empty
     table gives an empty result.
     """
-    shared = set(keys).intersection(*map(set, groupings.values()))
     rows = df.select(*keys, *[F.col(v).cast("double").alias(f"v{i}") for i, v in enumerate(values)])
     names = ["by", *keys, "feature", "buckets", "counts"]
 
@@ -90,7 +88,7 @@ def count_values(df: DataFrame, keys: list[str], groupings: dict[str, list[str]]
             keep = np.ones(table.num_rows, bool)
             for k in own:
                 joint = joint * code[k][1] + code[k][0]
-                if k not in shared:
+                if k not in open_keys:
                     keep &= ~code[k][2]
             _, first, group = np.unique(joint, return_index=True, return_inverse=True)
             packed = [((group * len(values) + i) * WIDTH + b + WIDTH // 2)[real & keep] for i, (real, b) in enumerate(buckets)]

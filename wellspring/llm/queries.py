@@ -97,7 +97,7 @@ def p4_sketches(spark: SparkSession, folder: str) -> DataFrame:
     """The combinable result of each export day: bucket counts per plate, per perturbation and per plate and well."""
     keys = [F.to_date("exported_at").alias("day"), plate_number(F.col("Metadata_Plate")).alias("plate"), well_name(F.col("Metadata_Well")).alias("well"), perturbation_key(F.col("Metadata_Perturbation")).alias("perturbation")]
     cells = table(spark, folder, "cells").select(*keys, *CELL_FEATURES)
-    return combine(count_values(cells, ["day", *KEYS], GROUPINGS, CELL_FEATURES), ["day", *KEYS])
+    return combine(count_values(cells, ["day", *KEYS], GROUPINGS, CELL_FEATURES, open_keys=("day",)), ["day", *KEYS])
 
 
 def p4_percentiles(spark: SparkSession, folder: str) -> DataFrame:

@@ -60,6 +60,8 @@ def last_words(text: str) -> dict:
     sender = mail["sender"]
     if last in (sender, sender.split(" ")[0]) and sender:
         out["place"] = "name"
+    elif sender.startswith(last) and len(lines) > 1:
+        out["place"] = "open"  # the sender's name breaks off
     elif "--" in lines[-SIGNATURE_LINES - 1 : -1]:
         out["place"] = "signature"
     elif last.casefold().rstrip(",;:") in {c.casefold() for c in CLOSINGS} or DEVICE.search(last):
