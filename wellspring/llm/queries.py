@@ -160,4 +160,12 @@ def p9_rates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_neighbours, p1_recall, p2_found, p2_clusters, p2_division, p2_compared, p4_percentiles, p4_daily, p4_sketches, p7_found, p7_items, p8_mix, p8_shares, p9_found, p9_rates)}
-ORACLES: dict[str, str] = {}
+_UNIT = """v AS (SELECT profile_id AS id, features::DOUBLE[] AS f FROM profiles WHERE len(features) = 64 AND len(list_filter(features, lambda v: v IS NULL OR NOT isfinite(v))) = 0 AND len(list_filter(features, lambda v: v <> 0)) > 0),
+u AS (SELECT id, list_transform(f, lambda x: x / sqrt(list_dot_product(f, f))) AS u FROM v)"""
+
+ORACLES: dict[str, str] = {
+    "p1_found": f"WITH {_UNIT} SELECT a.id AS profile_id_a, b.id AS profile_id_b FROM u a JOIN u b ON a.id < b.id WHERE list_dot_product(a.u, b.u) >= 0.96",
+    "p2_found": f"""WITH RECURSIVE {_UNIT}, links AS (SELECT a.id AS a, b.id AS b FROM u a JOIN u b ON a.id <> b.id WHERE list_dot_product(a.u, b.u) >= 0.80),
+walk(id, reach) AS (SELECT id, id FROM u UNION SELECT w.id, l.b FROM walk w JOIN links l ON w.reach = l.a)
+SELECT id AS profile_id, min(reach) AS cluster_key FROM walk GROUP BY 1 HAVING count(*) >= 10""",
+}
