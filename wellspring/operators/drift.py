@@ -142,9 +142,8 @@ def schema_changes(entries: DataFrame) -> DataFrame:
     pairs = cut(gone.join(come, ["feed", "ix"]))
 
     # content of the candidate fields only, one row per item
-    content = entries.filter("canon is not null").select("feed", "file_seq", "field", "item", "canon")
-    left = content.join(pairs.select("feed", F.col("old_seq").alias("file_seq"), F.col("old").alias("field")).distinct(), ["feed", "file_seq", "field"], "left_semi")
-    right = content.join(pairs.select("feed", "file_seq", F.col("new").alias("field")).distinct(), ["feed", "file_seq", "field"], "left_semi")
+    wanted = pairs.select("feed", F.col("old_seq").alias("file_seq"), F.col("old").alias("field")).union(pairs.select("feed", "file_seq", F.col("new").alias("field"))).distinct()
+    left = right = cut(entries.filter("canon is not null").select("feed", "file_seq", "field", "item", "canon").join(wanted, ["feed", "file_seq", "field"], "left_semi"))
     one = lambda df, seq, name, c: df.groupBy("feed", F.col("file_seq").alias(seq), F.col("field").alias(name), "item").agg(F.max("canon").alias(c))
     a, b = one(left, "old_seq", "old", "x"), one(right, "file_seq", "new", "y")
     shared = pairs.join(a.filter("item is not null"), ["feed", "old_seq", "old"]).join(b.filter("item is not null"), ["feed", "file_seq", "new", "item"])
