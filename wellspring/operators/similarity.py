@@ -231,10 +231,18 @@ def label_pairs(rows: DataFrame, dims: int, least: float, same_only: bool = Fals
         right = right[np.argsort(code[right], kind="stable")]
         starts = np.flatnonzero(np.r_[True, np.diff(code[right]) != 0]) if len(right) else np.array([], int)
         ends = np.r_[starts[1:], len(right)]
+        lone = ends - starts == 1
+        single = starts[lone]
+        many = [(lo, hi) for lo, hi, one in zip(starts, ends, lone) if not one or split[code[right[lo]]]]
         for i in np.unique(code[left]):
             mine = left[code[left] == i]
             s = np.clip(x[mine] @ x[right].T, 0, 1)
-            for lo, hi in zip(starts, ends):
+            # labels with one row on the right: their medians at once
+            j = code[right[single]]
+            bulk = np.median(s[:, single], axis=0) if len(single) else np.zeros(0)
+            good = (bulk >= least) & (j != i) & ~split[j] & (not split[i]) & (not same_only) & ((j > i) | (not diagonal))
+            out += [(*sorted((names[i], names[k])), float(m), len(mine), False) for k, m in zip(j[good], bulk[good])]
+            for lo, hi in many if not split[i] else zip(starts, ends):
                 j = code[right[lo]]
                 if diagonal and j < i or same_only and names[i] != names[j]:
                     continue
