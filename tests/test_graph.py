@@ -75,6 +75,26 @@ def test_pair_statistics_in_blocks(spark, monkeypatch):
     assert sum(r.n for r in S.similarity_counts(rows, 5).collect()) == 60 * 59 // 2
 
 
+def test_edges_follow_the_threshold_of_their_own_group(spark, tmp_path):
+    """Weak edges above a group's own threshold stay, and so do weak replicate medians."""
+    from wellspring.plans import relations as R
+
+    rng = np.random.default_rng(4)
+    labels = [f"L{k:02}" for k in range(40) for _ in range(2 if k < 8 else 1)]
+    x = rng.normal(size=(len(labels), 64))
+    rows = [(i, lab, "g", v.tolist()) for i, (lab, v) in enumerate(zip(labels, x))]
+    spark.createDataFrame(rows, "profile_id long, Metadata_Perturbation string, cohort string, features array<double>").write.parquet(f"{tmp_path}/profiles.parquet")
+    limit = R.fdr_threshold(spark, str(tmp_path)).first().threshold
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    s, own = np.clip(u @ u.T, 0, 1), np.array(labels)
+    names = sorted(set(labels))
+    med = {(a, b): np.median(s[np.ix_(own == a, own == b)]) for i, a in enumerate(names) for b in names[i + 1 :]}
+    assert sum(limit <= m < R.LEAST_EDGE for m in med.values()) > 0
+    assert {(r.label_a, r.label_b) for r in R.similarity_graph_edges(spark, str(tmp_path)).collect()} == {k for k, m in med.items() if m >= limit}
+    assert {(r.label_a, r.label_b) for r in R.compound_similarity(spark, str(tmp_path)).collect()} == set(med)
+    assert all((r.median_replicate_sim is not None) == (r.label < "L08") for r in R.node_confidence(spark, str(tmp_path)).collect())
+
+
 def test_average_precision_first_last_none(spark):
     x = np.array([[1, 0.0], [1, 0.1], [0, 1], [0.2, 1], [-1, 0]])
     got = {r.id: (r.ap, r.n_positive) for r in S.average_precision(rows_of(spark, x, ["a", "a", "b", "a", "c"]), 2).collect()}

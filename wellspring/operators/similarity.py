@@ -205,15 +205,18 @@ def fdr_threshold(counts: DataFrame, alpha: float = 0.05, n_null: int = 1_000) -
     return out.select("grp", F.when(none, 0.0).otherwise(F.coalesce("survivor", "p95")).alias("threshold"), F.coalesce("n_rejected", F.lit(0)).alias("n_rejected"))
 
 
-def label_pairs(rows: DataFrame, dims: int, least: float, same_only: bool = False) -> DataFrame:
+def label_pairs(rows: DataFrame, dims: int, least: float | DataFrame, same_only: bool = False) -> DataFrame:
     """``grp, label_a, label_b, similarity, n_pairs``: medians over all replicate pairs of two labels, where at least ``least``.
 
-    Labels equal to themselves come out too (``label_a = label_b``) where they
-    have two rows (only they with ``same_only``).  Rows are hashed by label into blocks; a label with more rows
+    ``least`` is one value or a table ``grp, threshold`` with a value for each
+    group.  Labels equal to themselves come out too (``label_a = label_b``)
+    where they have two rows, whatever their median (only they with
+    ``same_only``).  Rows are hashed by label into blocks; a label with more rows
     than a block is cut, and its medians follow from counts of similarities at
     ``DIGITS`` digits.
     """
     cap = BLOCK
+    rows = rows.join(F.broadcast(least.select("grp", F.col("threshold").alias("least"))), "grp") if isinstance(least, DataFrame) else rows.withColumn("least", F.lit(float(least)))
     heavy = rows.groupBy("grp", "label").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > cap)
     marked = rows.join(heavy, ["grp", "label"], "left").withColumn("pieces", F.ceil(F.coalesce("c", F.lit(1)) / cap).cast("int"))
     sizes = rows.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / cap).cast("int").alias("blocks"))
@@ -226,6 +229,7 @@ def label_pairs(rows: DataFrame, dims: int, least: float, same_only: bool = Fals
         names, code = np.unique(label.astype(str), return_inverse=True)
         split = np.zeros(len(names), bool)
         np.logical_or.at(split, code, t["split"].to_numpy(zero_copy_only=False))
+        low = t["least"][0].as_py()
         out: list[tuple] = []
         left = left[np.argsort(code[left], kind="stable")]
         right = right[np.argsort(code[right], kind="stable")]
@@ -240,8 +244,9 @@ def label_pairs(rows: DataFrame, dims: int, least: float, same_only: bool = Fals
             # labels with one row on the right: their medians at once
             j = code[right[single]]
             bulk = np.median(s[:, single], axis=0) if len(single) else np.zeros(0)
-            good = (bulk >= least) & (j != i) & ~split[j] & (not split[i]) & (not same_only) & ((j > i) | (not diagonal))
-            out += [(*sorted((names[i], names[k])), float(m), len(mine), False) for k, m in zip(j[good], bulk[good])]
+            good = (bulk >= low) & (j != i) & ~split[j] & (not split[i]) & (not same_only) & ((j > i) | (not diagonal))
+            at = j[good]
+            out.append((np.minimum(at, i), np.maximum(at, i), bulk[good], np.full(len(at), len(mine)), np.zeros(len(at), bool)))
             for lo, hi in many if not split[i] else zip(starts, ends):
                 j = code[right[lo]]
                 if diagonal and j < i or same_only and names[i] != names[j]:
@@ -250,30 +255,32 @@ def label_pairs(rows: DataFrame, dims: int, least: float, same_only: bool = Fals
                 v = v[ids[mine][:, None] < ids[right[lo:hi]][None]] if diagonal and i == j else v.ravel()
                 if not len(v):
                     continue
-                pair = sorted((names[i], names[j]))
+                pair = min(i, j), max(i, j)
                 if split[i] or split[j]:
                     at, n = np.unique(np.floor(v * 10**DIGITS + 0.5) / 10**DIGITS, return_counts=True)
-                    out += [(*pair, float(q), int(c), True) for q, c in zip(at, n)]
+                    out.append((np.full(len(at), pair[0]), np.full(len(at), pair[1]), at, n, np.ones(len(at), bool)))
                 else:
                     m = float(np.median(v))
-                    if m >= least:
-                        out.append((*pair, m, len(v), False))
-        cols = list(zip(*out)) if out else [()] * 5
-        kinds = (pa.string(), pa.string(), pa.float64(), pa.int64(), pa.bool_())
-        names_ = ("label_a", "label_b", "similarity", "n_pairs", "counted")
-        return pa.table({"grp": pa.array([t["grp"][0].as_py()] * len(out), pa.string())} | {n: pa.array(c, k) for n, c, k in zip(names_, cols, kinds)})
-
-    found = cut(placed.select("grp", "a", "b", "own", "id", "label", "split", "vec").groupBy("grp", "a", "b").applyInArrow(medians, "grp string, label_a string, label_b string, similarity double, n_pairs long, counted boolean"))
+                    if m >= low or i == j:
+                        out.append(([pair[0]], [pair[1]], [m], [len(v)], [False]))
+        cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, int)] * 5
+        kinds = (np.int64, np.int64, np.float64, np.int64, bool)
+        a, b, similarity, n_pairs, counted = (pa.array(c.astype(k)) for c, k in zip(cols, kinds))
+        known = pa.array(names.tolist(), pa.string())
+        grp = pa.array([t["grp"][0].as_py()], pa.string()).take(pa.array(np.zeros(len(a), np.int64)))
+        return pa.table({"grp": grp, "label_a": known.take(a), "label_b": known.take(b), "similarity": similarity, "n_pairs": n_pairs, "counted": counted, "least": pa.array(np.full(len(a), low))})
+
+    found = cut(placed.select("grp", "a", "b", "own", "id", "label", "split", "least", "vec").groupBy("grp", "a", "b").applyInArrow(medians, "grp string, label_a string, label_b string, similarity double, n_pairs long, counted boolean, least double"))
     keys = ["grp", "label_a", "label_b"]
-    counts = found.filter("counted").groupBy(*keys, "similarity").agg(F.sum("n_pairs").alias("n"))
+    counts = found.filter("counted").groupBy(*keys, "least", "similarity").agg(F.sum("n_pairs").alias("n"))
     window = Window.partitionBy(*keys)
     upto = F.sum("n").over(window.orderBy("similarity"))
     hot = counts.withColumn("upto", upto).withColumn("total", F.sum("n").over(window))
     middle = [F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)]
     holds = [F.when((F.col("upto") > m) & (F.col("upto") - F.col("n") <= m), F.col("similarity")) for m in middle]
-    hot = hot.groupBy(*keys, "total").agg(*[F.max(h).alias(f"m{i}") for i, h in enumerate(holds)])
-    hot = hot.select(*keys, ((F.col("m0") + F.col("m1")) / 2).alias("similarity"), F.col("total").alias("n_pairs")).filter(F.col("similarity") >= least)
-    return found.filter("not counted").drop("counted").unionByName(hot)
+    hot = hot.groupBy(*keys, "least", "total").agg(*[F.max(h).alias(f"m{i}") for i, h in enumerate(holds)])
+    hot = hot.withColumn("similarity", (F.col("m0") + F.col("m1")) / 2).filter("similarity >= least or label_a = label_b").select(*keys, "similarity", F.col("total").alias("n_pairs"))
+    return found.filter("not counted").drop("counted", "least").unionByName(hot)
 
 
 def average_precision(rows: DataFrame, dims: int) -> DataFrame:

@@ -14,7 +14,7 @@ from wellspring.plans.tables import table
 from wellspring.session import cut
 
 DIMS = 64
-#: graph edges below this similarity are never wanted, whatever the threshold found
+#: floor of the SQL equivalents' pairs; the queries have none
 LEAST_EDGE = 0.3
 
 
@@ -54,11 +54,11 @@ def cohens_d(spark, folder):
 
 
 def _pairs(spark, folder) -> DataFrame:
-    return S.label_pairs(_vectors(spark, folder, "cosine"), DIMS, LEAST_EDGE)
+    return S.label_pairs(_vectors(spark, folder, "cosine"), DIMS, -1.0)
 
 
 def compound_similarity(spark, folder):
-    """Medians over replicate pairs of every two perturbations of a cohort, where at least ``LEAST_EDGE``."""
+    """Medians over replicate pairs of every two perturbations of a cohort."""
     return _pairs(spark, folder).filter("label_a <> label_b").withColumn("similarity", F.round("similarity", 6))
 
 
@@ -95,7 +95,7 @@ def percent_replicating(spark, folder):
 def _graph(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     rows = _vectors(spark, folder, "cosine")
     limits = _thresholds(rows)
-    pairs = cut(S.label_pairs(rows, DIMS, LEAST_EDGE))
+    pairs = cut(S.label_pairs(rows, DIMS, limits))
     return cut(rows.select("grp", "label").distinct()), cut(G.threshold_edges(pairs, limits)), pairs, limits
 
 
