@@ -1,7 +1,7 @@
 import json
 
 from wellspring.functions.keys import CHANNELS
-from wellspring.operators.drift import canonical, fuse, read_entries, schema_changes
+from wellspring.operators.drift import canonical, consistent_names, fuse, read_entries, schema_changes
 
 SCHEMA = "raw_id long, feed string, file_seq int, record string, field string"
 
@@ -68,3 +68,19 @@ def test_fused_table_has_typed_branches(spark):
     assert [out[k].tag for k in "abc"] == ["string", "integer", "array"]
     assert [out[k].value for k in "abc"] == ["4.0"] * 3
     assert out["a"].as_string == "04" and out["b"].as_integer == 4 and out["c"].as_array == ["4"]
+
+
+def test_fused_table_keeps_every_field_under_its_consistent_name(spark):
+    files = [
+        (1, [{"img": "a", "plate": "04", "expo": 7}, {"img": "b", "plate": "05", "expo": 8}]),
+        (2, [{"img": "a", "plate_id": 4, "exposure_ms": 7}, {"img": "b", "plate_id": 5, "exposure_ms": 8}]),
+        (3, [{"img": "c", "plate_id": 6, "exposure_ms": 9, "plate": 1, "note": "x"}, {"img": "d", "plate_id": 7, "exposure_ms": 10, "note": None}]),
+    ]
+    entries = read_entries(spark.createDataFrame(lines(files), SCHEMA), "record", "img")
+    names = {"img": ["img"], "plate": ["plate"]}
+    out = {(r.file_seq, r.img.value): r for r in fuse(entries, names, consistent_names(entries, schema_changes(entries), names)).collect()}
+    assert out[1, "a"].plate.value == out[2, "a"].plate.value == "4.0"
+    assert out[1, "a"].other["exposure_ms"].value == out[2, "a"].other["exposure_ms"].value == "7.0"
+    last = out[3, "c"]
+    assert {last.plate.value, last.other["plate"].value} == {"6.0", "1.0"} and last.other["note"].value == "x"
+    assert "note" in out[3, "d"].other and out[3, "d"].other["note"].tag is None

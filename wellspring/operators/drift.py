@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wellspring.functions.keys import CHANNELS
+from wellspring.operators.graph import components
 from wellspring.session import cut
 
 CODES = {name.lower(): float(number) for number, name in CHANNELS.items()}
@@ -195,16 +196,39 @@ def schema_changes(entries: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [report(renames, "old", "renamed", F.col("new")), report(removed, "old", "removed", none), report(added, "new", "added", F.col("new")), retyped])
 
 
-def fuse(entries: DataFrame, names: dict[str, list[str]]) -> DataFrame:
+def consistent_names(entries: DataFrame, changes: DataFrame, names: dict[str, list[str]]) -> DataFrame:
+    """``field, name``: one consistent name for every key, following the renames of ``changes`` in any direction.
+
+    Keys in ``names`` keep their name there.  Other keys take the name of the
+    listed keys that their renames lead to, if it is only one; else, together
+    with the unlisted keys they are linked with, the one on most lines.
+    """
+    spark = entries.sparkSession
+    listed = spark.createDataFrame([(old, new) for new, olds in names.items() for old in olds], "field string, listed string")
+    fields = cut(entries.groupBy("field").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(listed), "field", "left"))
+    renames = changes.filter("change = 'renamed'").select(F.lit("all").alias("grp"), F.col("field").alias("label_a"), F.col("new_field").alias("label_b"), F.lit(1.0).alias("similarity")).distinct()
+    nodes = fields.select(F.lit("all").alias("grp"), F.col("field").alias("label"))
+    linked = fields.join(components(nodes, renames).select(F.col("label").alias("field"), "component"), "field")
+    of_set = linked.groupBy("component").agg(F.count_distinct("listed").alias("k"), F.max("listed").alias("only"), F.max_by(F.when(F.col("listed").isNull(), F.col("field")), F.when(F.col("listed").isNull(), F.struct("n", "field"))).alias("most"))
+    return cut(linked.join(of_set, "component").select("field", F.coalesce("listed", F.when(F.col("k") == 1, F.col("only")), "most").alias("name")))
+
+
+def fuse(entries: DataFrame, names: dict[str, list[str]], known_names: DataFrame | None = None) -> DataFrame:
     """All lines as one table: one name and one canonical type per field.
 
-    ``names`` lists for each consistent name the keys it had.  Every field comes
-    as a struct: ``value`` (canonical text), the union's ``tag`` and the typed
+    ``names`` lists for each consistent name the keys it had, ``known_names``
+    (``field, name``) has the names of further keys.  Fields that are not in
+    ``names``, and the further keys of a line with several keys of one name, are
+    in the map ``other`` by name.  Every field comes as a struct: ``value`` (canonical text), the union's ``tag`` and the typed
     branches ``as_string``, ``as_boolean``, ``as_integer``, ``as_number``,
     ``as_array`` (null where another alternative holds).  One row per line.
     """
     branch = F.create_map(*[x for new, olds in names.items() for old in olds for x in (F.lit(old), F.lit(new))])
-    known = entries.withColumn("name", F.coalesce(F.try_element_at(branch, F.col("field")), F.col("field")))
+    listed = F.try_element_at(branch, F.col("field"))
+    if known_names is None:
+        known = entries.withColumn("name", F.coalesce(listed, F.col("field")))
+    else:
+        known = entries.join(F.broadcast(known_names), "field", "left").withColumn("name", F.coalesce(listed, F.col("name"), F.col("field")))
     cell = F.struct(
         F.col("canon").alias("value"), "tag",
         F.when(F.col("tag") == "string", F.col("value")).alias("as_string"),
@@ -213,4 +237,10 @@ def fuse(entries: DataFrame, names: dict[str, list[str]]) -> DataFrame:
         F.when(F.col("tag") == "number", F.col("value").try_cast("double")).alias("as_number"),
         F.when(F.col("tag") == "array", F.from_json("value", "array<string>")).alias("as_array"),
     )
-    return known.withColumn("cell", cell).groupBy("raw_id", "feed", "file_seq").pivot("name", list(names)).agg(F.max_by("cell", F.struct(F.col("tag").isNotNull(), "field")))
+    line = ["raw_id", "feed", "file_seq"]
+    cells = known.withColumn("cell", cell).groupBy(*line, "name", "field").agg(F.max_by("cell", F.col("tag").isNotNull()).alias("cell"))
+    inside = F.col("name").isin(list(names))
+    order = [(~inside & (F.col("field") == F.col("name"))).desc(), F.col("cell.tag").isNotNull().desc(), F.col("field").desc()]
+    cells = cells.withColumn("r", F.row_number().over(Window.partitionBy(*line, "name").orderBy(*order))).withColumn("main", inside & (F.col("r") == 1))
+    rest = F.when(~F.col("main"), F.struct(F.when(F.col("r") == 1, F.col("name")).otherwise(F.col("field")).alias("key"), F.col("cell").alias("value")))
+    return cells.groupBy(*line).agg(*[F.first(F.when(F.col("main") & (F.col("name") == n), F.col("cell")), ignorenulls=True).alias(n) for n in names], F.map_from_entries(F.collect_list(rest)).alias("other"))

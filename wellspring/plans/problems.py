@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellspring.functions.keys import CHANNELS, perturbation_key, plate_number, well_name
-from wellspring.operators.drift import fuse, read_entries, schema_changes
+from wellspring.operators.drift import consistent_names, fuse, read_entries, schema_changes
 from wellspring.operators.orphans import count_by_month, find_orphans
 from wellspring.operators.spikes import flag_readings
 from wellspring.plans.tables import table
@@ -56,8 +56,9 @@ def p5_changes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p5_table(spark: SparkSession, folder: str) -> DataFrame:
-    """All manifests as one table, flattened to canonical values and the tags of the two main fields."""
-    fused = fuse(_entries(spark, folder), MANIFEST_NAMES)
+    """All manifests as one table, flattened to canonical values and the tags of the two main fields; ``other`` has all further fields by name."""
+    entries = _entries(spark, folder)
+    fused = fuse(entries, MANIFEST_NAMES, consistent_names(entries, schema_changes(entries), MANIFEST_NAMES))
     number = lambda c: F.col(f"{c}.value").try_cast("double").cast("int")
     names = F.create_map(*[F.lit(x) for k, v in CHANNELS.items() for x in (k, v)])
     mask = F.col("Image_FileName_RNA_mask")
@@ -67,6 +68,7 @@ def p5_table(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce(F.try_element_at(names, number("Metadata_Channel_name")), F.col("Metadata_Channel_name.value")).alias("Metadata_Channel_name"), F.col("Metadata_Channel_name.tag").alias("channel_name_tag"),
         F.when(mask.tag == "boolean", F.when(mask.as_boolean, F.regexp_replace("Image_FileName.value", r"\.tiff?$", ".png"))).otherwise(mask.value).alias("Image_FileName_RNA_mask"), mask.tag.alias("mask_tag"),
         F.col("Image_PathName_RNA_mask.value").alias("Image_PathName_RNA_mask"), F.col("FileName_Illum.value").alias("FileName_Illum"), F.col("PathName_Illum.value").alias("PathName_Illum"),
+        F.transform_values("other", lambda _, c: F.struct(c["value"].alias("value"), c["tag"].alias("tag"))).alias("other"),
     )
 
 
