@@ -35,7 +35,7 @@ def qc_aggregate(spark, folder):
     """Means of readings and sums of counts per plate and well in one aggregation; a sum of nothing is 0."""
     number = lambda c: F.nanvl(F.col(c), F.lit(None).cast("double"))
     finite = lambda c: F.when(F.abs(number(c)) < float("inf"), number(c))
-    return _sites(spark, folder).groupBy("plate", "well").agg(*[F.round(F.avg(finite(c)), 6).alias(c) for c in COLUMNS[:6]], *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS])
+    return _sites(spark, folder).groupBy("plate", "well").agg(*[F.round(F.avg(finite(c)), 6).alias(c) for c in COLUMNS], *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS])
 
 
 def qc_verdicts(spark, folder):
