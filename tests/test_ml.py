@@ -43,6 +43,20 @@ def test_silhouette_in_blocks(spark):
     assert a[900] == 0 and np.mean([v for k, v in a.items() if k != 900]) > 0.3
 
 
+def test_silhouette_query_scores_every_profile(spark, tmp_path):
+    from wellspring.plans import relations as R
+
+    rng = np.random.default_rng(8)
+    rows = [(i, f"P{i % 7}", f"c{i % 3}", (rng.normal(size=64) + i % 3).tolist()) for i in range(120)]
+    spark.createDataFrame(rows, "profile_id long, Metadata_Perturbation string, cohort string, features array<double>").write.parquet(f"{tmp_path}/profiles.parquet")
+    got = {r.id: r.silhouette for r in R.silhouette(spark, str(tmp_path)).collect()}
+    x, c = np.array([r[3] for r in rows]), np.arange(120) % 3
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    for i in range(120):
+        a, b = d[i, c == c[i]].sum() / 39, min(d[i, c == k].mean() for k in range(3) if k != c[i])
+        assert abs(got[i] - (b - a) / max(a, b)) < 1e-5
+
+
 def test_percent_replicating_tells_replicates_from_noise(spark):
     rng = np.random.default_rng(5)
     rows = []

@@ -57,7 +57,7 @@ def principal_components(rows: DataFrame, dims: int, k: int = 3) -> DataFrame:
     return rows.mapInArrow(project, "id long, label string, " + ", ".join(f"pc{i + 1} double" for i in range(k)))
 
 
-def silhouettes(rows: DataFrame, dims: int, every: int, block: int = 8_192) -> DataFrame:
+def silhouettes(rows: DataFrame, dims: int, every: int = 1, block: int = 8_192) -> DataFrame:
     """``id, label, silhouette`` (Euclidean) of the rows whose id is divisible by ``every``, against all rows in blocks.
 
     Rows alone in their label score 0; null labels take no part.
@@ -72,22 +72,19 @@ def silhouettes(rows: DataFrame, dims: int, every: int, block: int = 8_192) -> D
     def distances(q: pa.Table, i: pa.Table) -> pa.Table:
         names, code = np.unique(np.array(i["label"].to_pylist(), object).astype(str), return_inverse=True)
         x, y = _matrix(q["vec"], dims), _matrix(i["vec"], dims)
-        out = {"id": [], "label": [], "other": [], "total": [], "n": []}
+        of_label = (code[:, None] == np.arange(len(names))[None]).astype(np.float64)
+        totals = [np.zeros((0, len(names)))]
         ids, own, other_ids = q["id"].to_numpy(), q["label"].to_pylist(), i["id"].to_numpy()
         count = np.bincount(code, minlength=len(names)) if len(code) else np.zeros(0, int)
         for lo in range(0, len(x), 256):
             part = x[lo : lo + 256]
             d = np.sqrt(np.maximum((part**2).sum(1)[:, None] + (y**2).sum(1)[None] - 2 * part @ y.T, 0))
             d[ids[lo : lo + 256, None] == other_ids[None]] = 0
-            total = np.zeros((len(names), len(part)))
-            np.add.at(total, code, d.T)
-            for r in range(len(part)):
-                out["id"] += [int(ids[lo + r])] * len(names)
-                out["label"] += [own[lo + r]] * len(names)
-                out["other"] += names.tolist()
-                out["total"] += total[:, r].tolist()
-                out["n"] += count.tolist()
-        return pa.table({k: pa.array(v, t) for (k, v), t in zip(out.items(), (pa.int64(), pa.string(), pa.string(), pa.float64(), pa.int64()))})
+            totals.append(d @ of_label)
+        at = pa.array(np.repeat(np.arange(len(x)), len(names)))
+        other = pa.array(np.tile(np.arange(len(names)), len(x)))
+        known = pa.array(names.tolist(), pa.string())
+        return pa.table({"id": q["id"].combine_chunks().take(at), "label": pa.array(own, pa.string()).take(at), "other": known.take(other), "total": pa.array(np.concatenate(totals).ravel()), "n": pa.array(np.tile(count, len(x)).astype(np.int64))})
 
     cells = queries.groupBy("row", "col").cogroup(index.groupBy("row", "col")).applyInArrow(distances, "id long, label string, other string, total double, n long")
     sums = cells.groupBy("id", "label", "other").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))

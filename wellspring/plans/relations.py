@@ -202,8 +202,8 @@ def pca_scores(spark, folder):
 
 
 def silhouette(spark, folder):
-    """Of the profiles whose id is divisible by 50, with their cohorts as labels, against all."""
-    return M.silhouettes(_packed(spark, folder), DIMS, 50)
+    """Of all profiles, with their cohorts as labels."""
+    return M.silhouettes(_packed(spark, folder), DIMS)
 
 
 def label_codes(spark, folder):
