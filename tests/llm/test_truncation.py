@@ -28,6 +28,42 @@ def test_complete_and_cut_mails(spark):
     got = judge(spark, texts)
     assert [got[i].truncated for i in range(len(texts))] == want, [texts[i][-40:] for i in got if got[i].truncated != want[i]]
     assert got[len(complete)].word_cut and not got[len(complete) + 1].word_cut
+    kinds = [got[i].evidence for i in range(len(complete), len(complete) + len(cut))]
+    assert kinds == ["word", "phrase", "phrase", "word", "phrase", "phrase"]
+    assert {got[i].evidence for i in range(len(texts) - len(raw_cut), len(texts)) if i != len(texts) - len(raw_cut) + 2} == {"structure"}
+
+
+NAMES = [(200 + i, "s", HEAD + "\n" + BODY + "We met Mirrika Stovinde and said hello.", "") for i in range(3)]
+
+
+def test_the_trie_of_words_decides(spark, monkeypatch):
+    """A name that breaks off is cut only because its token begins a known word; without the trie it passes."""
+    cut = [(1, "s", HEAD + "\n" + BODY + "Gracias,\nMirrika Stovi", "")]
+    run = lambda: T.find_truncated(spark.createDataFrame(NAMES + cut, SCHEMA), "doc_id", "text", "source").filter("doc_id = 1").first()
+    assert (run().evidence, run().place, run().word_cut) == ("word", "name", True)
+    monkeypatch.setattr(T, "known_prefixes", lambda tokens, vocabulary: tokens.select("token").limit(0))
+    assert run().evidence is None
+
+
+def test_a_texts_own_last_token_is_no_vocabulary(spark):
+    """Many texts cut within the same word do not make its beginning known."""
+    cut = [(i, "s", HEAD + "\n" + BODY + f"We met {i} times with Mirrika Stovi", "") for i in range(9)]
+    got = T.find_truncated(spark.createDataFrame(NAMES + cut, SCHEMA), "doc_id", "text", "source").filter("doc_id < 9").collect()
+    assert [r.evidence for r in got] == ["word"] * 9
+
+
+def test_the_trie_of_phrases_tells_closings_from_beginnings(spark):
+    texts = ["The slides are here.", "The box is empty.", "Salut", "Salut", "The", "Bonne"]
+    rows = [(i, "s", HEAD + "\n" + BODY + t, "") for i, t in enumerate(texts)]
+    got = {r.doc_id: (r.place, r.evidence) for r in T.find_truncated(spark.createDataFrame(rows, SCHEMA), "doc_id", "text", "source").collect()}
+    assert got[2] == got[3] == got[5] == ("closing", None) and got[4] == ("open", "phrase")
+
+
+def test_length_decides_after_a_whole_word(spark):
+    rows = [(i, "s", (HEAD + "\n" + BODY + f"It was remaining number {i} ").ljust(300, "x")[:291] + " remaining", "") for i in range(6)]
+    rows += [(100 + i, "s", HEAD + "\n" + BODY + "The remaining slides. " * (i % 9 + 1), "") for i in range(60)]
+    got = T.find_truncated(spark.createDataFrame(rows, SCHEMA), "doc_id", "text", "source").filter("truncated").collect()
+    assert {(r.doc_id, r.evidence, r.word_cut) for r in got} == {(i, "length", False) for i in range(6)}
 
 
 def test_nulls_empty_texts_and_empty_table(spark):

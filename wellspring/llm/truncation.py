@@ -1,10 +1,13 @@
 """Texts cut off by field limits or in transfer.
 
-A mail is cut if its structure is incomplete (headers, multipart, HTML, encoded
-block), if its last sentence is open, or if its final token is no known word
-but a proper prefix of known ones.  Known prefixes are found in tries over the
-corpus vocabulary, one trie per group of words with equal first letters.  Lengths
-at which a source's texts pile up are reported as evidence beside.
+Two tries over the corpus decide how a text ends.  The trie of words: a final
+token that is no known word but a proper prefix of known ones was cut.  The trie
+of phrases, whose letters are words: a final line that other lines begin with
+and go on from was cut, one that other lines end with (a closing phrase, a
+device line) is complete.  Lengths at which a source's texts pile up are the
+evidence beside: a text of such a length with an open ending was cut, whatever
+its last word.  Structure is checked for headers, multipart bodies, HTML pages
+and encoded blocks only.
 """
 
 from __future__ import annotations
@@ -13,91 +16,143 @@ import re
 from collections import Counter
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wellspring.llm.mail import readable, take_apart, words
 from wellspring.session import cut
 
-# Phrases that end a mail without a full stop.
-CLOSINGS = frozenset("""
-thanks|thank you|many thanks|cheers|best|best regards|kind regards|regards|sincerely|done|ok|okay|agreed|will do|yes|no|noted|fine
-danke|danke und gruß|viele grüße|mit freundlichen grüßen|gruß|erledigt|einverstanden|mache ich
-merci|cordialement|bien à vous|bonne journée|d'accord|c'est fait|gracias|un saludo|saludos|hecho|de acuerdo|vale
-""".replace("\n", "|").strip("|").split("|"))
-DEVICE = re.compile(r"(?i)^(sent|gesendet|envoyé|enviado)\b.*\b(my|meinem|mon|mi|from|von|de|desde)\b")
 SENTENCE_END = re.compile(r"[.!?…。][\"'”’»)\]]*$")
+LAST_OF_SENTENCE = re.compile(r"([^\W_]+)[.!?…。]")
 SIGNATURE_LINES = 4
 SHARD = 4  # first letters that words of one trie share
 KNOWN = 3  # documents that make a word known
+PHRASE_WORDS = 4  # depth of the trie of phrases
+
+
+def _phrase(line: str) -> str:
+    return " ".join(line.casefold().rstrip(",;: ").split())
+
+
+def _begins(lines: list[str], k: int) -> bool:
+    """Whether line ``k`` begins something: it is the first, follows a blank line or a finished sentence."""
+    return k == 0 or not lines[k - 1] or SENTENCE_END.search(lines[k - 1]) is not None
+
+
+def phrases_of(lines: list[str]) -> tuple[set[str], set[str]]:
+    """Of the lines that begin something: the short ones, and the beginnings (1 to ``PHRASE_WORDS`` words) of those that go on."""
+    ends, goes_on = set(), set()
+    for k, line in enumerate(lines):
+        if line and _begins(lines, k):
+            found = _phrase(line).split(" ")
+            if len(found) <= PHRASE_WORDS and not SENTENCE_END.search(line):
+                ends.add(" ".join(found))
+            goes_on.update(" ".join(found[:n]) for n in range(1, min(len(found), PHRASE_WORDS + 1)))
+    return ends, goes_on
 
 
 def last_words(text: str) -> dict:
-    """``missing``, ``place`` of the ending and the ``token`` the text ends with (None if it ends with a sign).
+    """How a mail ends: ``missing``, ``place``, ``token``, ``phrase``, and its ``words`` and lines for the vocabulary.
 
     ``place`` is end (structure closed, full stop, dots or nothing to read),
-    closing, name, signature or open.
+    name, signature, phrase (a short line of its own, which the trie of phrases
+    judges) or open.  ``token`` is the word the text ends with, None if it ends
+    with a sign; it is left out of ``words``, which every text would else make known
+    itself.  ``stops`` are the words that end a sentence.
     """
     mail = take_apart(text)
-    out = {"missing": mail["missing"], "place": "end", "token": None, "words": Counter(), "mail": mail}
-    if mail["missing"] or not mail["parts"]:
-        return out
-    kind, part = mail["parts"][-1]
+    bodies = [readable(kind, part) for kind, part in mail["parts"]]
+    out = {"missing": mail["missing"], "place": "end", "token": None, "phrase": None}
+    found = [words(body) for body in bodies]
+    lines = [[x.strip() for x in body.rstrip().split("\n")] for body in bodies]
+    last = lines[-1][-1] if bodies else ""
+    if last[-1:].isalnum() and found[-1]:
+        tail = found[-1].pop()
+    else:
+        tail = (words(last) or [""])[-1] if last.endswith("�") else None
+    out["words"] = set().union(*found)
+    out["stops"] = {w.casefold() for body in bodies for w in LAST_OF_SENTENCE.findall(body)}
+    out["lines"] = lines
     head = text.partition("\n\n")[0].lower()
-    if kind == "text/html" or "content-type: multipart" in head:
-        return out
-    body = readable(kind, part).rstrip()
-    if not body:
+    if mail["missing"] or not bodies or mail["parts"][-1][0] == "text/html" or "content-type: multipart" in head or not last or SENTENCE_END.search(last) or set(last) <= set("_-=*~ "):
         return out
-    lines = [x.strip() for x in body.split("\n")]
-    last = lines[-1]
-    if SENTENCE_END.search(last):
-        return out
-    if last[-1:].isalnum() or last.endswith("�"):
-        found = words(last)
-        out["token"] = (found[-1] if found else "") + ("�" if last.endswith("�") else "")
-    sender = mail["sender"]
-    if last in (sender, sender.split(" ")[0]) and sender:
+    own, sender = lines[-1], mail["sender"]
+    out["token"] = None if tail is None else tail + ("�" if last.endswith("�") else "")
+    before = own[-2] if len(own) > 1 else ""
+    if sender and last in (sender, sender.split(" ")[0]):
         out["place"] = "name"
-    elif sender.startswith(last) and len(lines) > 1:
+    elif sender.startswith(last) and len(own) > 1:
         out["place"] = "open"  # the sender's name breaks off
-    elif "--" in lines[-SIGNATURE_LINES - 1 : -1]:
+    elif "--" in own[-SIGNATURE_LINES - 1 : -1]:
         out["place"] = "signature"
-    elif last.casefold().rstrip(",;:") in {c.casefold() for c in CLOSINGS} or DEVICE.search(last):
-        out["place"] = "closing"
-    elif len(lines) > 1 and lines[-2].endswith(",") and len(lines[-2].split()) <= 4 and len(last.split()) <= 3 and all(w[:1].isupper() for w in last.split()):
+    elif before.endswith(",") and len(before.split()) <= 4 and len(last.split()) <= 3 and all(w[:1].isupper() for w in last.split()):
         out["place"] = "name"
-    elif set(last) <= set("_-=*~ "):
-        out["place"] = "end"
+    elif last.count("(") > last.count(")"):
+        out["place"] = "open"
+    elif _begins(own, len(own) - 1) and len(last.split()) <= PHRASE_WORDS:
+        out["place"], out["phrase"] = "phrase", _phrase(last)
     else:
         out["place"] = "open"
     return out
 
 
-EVIDENCE = "doc_id long, source string, n_chars long, n_bytes long, missing string, place string, token string, word string, n long"
+EVIDENCE = "doc_id long, source string, n_chars long, n_bytes long, missing string, place string, token string, phrase string, kind string, word string, n long"
 
 
 def read_endings(documents: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
-    """One pass: a row per document, and per batch the number of documents with each word (``word, n``)."""
+    """One pass: a row per document, and per batch the number of documents with each word or phrase.
+
+    Those rows have ``kind`` (word, stops, ends, goes_on), ``word`` and ``n``.
+    """
 
     def run(batches):
         for b in batches:
-            seen: Counter = Counter()
+            seen = {kind: Counter() for kind in ("word", "stops", "ends", "goes_on")}
             rows = []
             for doc, where, body in zip(*(b.column(c).to_pylist() for c in ("doc_id", "source", "text"))):
                 e = last_words(body)
-                rows.append((doc, where, len(body), len(body.encode("utf-8", "replace")), e["missing"], e["place"], e["token"], None, None))
-                seen.update({w for kind, part in e["mail"]["parts"] for w in words(readable(kind, part))})
-            rows += [(None,) * 7 + (w, n) for w, n in seen.items()]
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64())
-            cols = list(zip(*rows)) if rows else [()] * 9
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "source", "n_chars", "n_bytes", "missing", "place", "token", "word", "n"])
+                rows.append((doc, where, len(body), len(body.encode("utf-8", "replace")), e["missing"], e["place"], e["token"], e["phrase"], None, None, None))
+                seen["word"].update(e["words"])
+                seen["stops"].update(e["stops"])
+                # the line a text ends with tells nothing about how lines go on
+                shut, open_ = zip(*(phrases_of(x if k < len(e["lines"]) - 1 else x[:-1]) for k, x in enumerate(e["lines"]))) if e["lines"] else ((), ())
+                seen["ends"].update(set().union(*shut) | ({e["phrase"]} if e["phrase"] else set()))
+                seen["goes_on"].update(set().union(*open_))
+            rows += [(None,) * 8 + (kind, w, n) for kind, counts in seen.items() for w, n in counts.items()]
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 6, pa.int64())
+            cols = list(zip(*rows)) if rows else [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=[x.split()[0] for x in EVIDENCE.split(", ")])
 
     docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text")).filter("text is not null")
     return docs.mapInArrow(run, EVIDENCE)
 
 
+def closing_phrases(asked: DataFrame, counts: DataFrame) -> DataFrame:
+    """``phrase``: those of ``asked`` that are complete by the trie of phrases.
+
+    ``counts`` is ``kind, word, n``.  A node of the trie knows how many documents
+    have a line that ends there and how many a line that goes on.  Complete is a
+    phrase that two documents end a line with and fewer go on from; of phrases
+    hardly seen, one whose first word begins no lines that go on and whose last
+    word is not a known one that never ends a sentence.
+    """
+    asked = asked.select("phrase").filter("phrase is not null").distinct()
+    asked = asked.withColumn("first", F.substring_index("phrase", " ", 1)).withColumn("last", F.substring_index("phrase", " ", -1))
+    wanted = asked.select(F.explode(F.array("phrase", "first", "last")).alias("word")).distinct()
+    of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("n")).otherwise(0)).alias(kind)
+    nodes = counts.join(wanted, "word", "left_semi").groupBy("word").agg(*[of(kind) for kind in ("word", "stops", "ends", "goes_on")])
+    nodes = cut(nodes.toDF("at", "known", "stops", "ends", "goes_on"))
+    node = lambda name: nodes.select(F.col("at").alias(name), F.struct("known", "stops", "ends", "goes_on").alias(f"{name}_node"))
+    for name in ("phrase", "first", "last"):
+        asked = asked.join(node(name), name, "left")
+    n = lambda name, what: F.coalesce(F.col(f"{name}_node")[what], F.lit(0))
+    usual = (n("phrase", "ends") >= 2) & (n("phrase", "ends") > n("phrase", "goes_on"))
+    begins = n("first", "goes_on") > n("first", "ends")
+    inside = (n("last", "known") >= KNOWN) & (n("last", "stops") == 0) & (n("last", "ends") == 0)
+    return asked.filter(usual | ~(begins | inside)).select("phrase")
+
+
 def known_prefixes(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """``token``: those that are no known word but a proper prefix of one.
 
@@ -141,25 +196,36 @@ def length_limits(lengths: DataFrame) -> DataFrame:
 
 
 def find_truncated(documents: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
-    """Every document with the evidence on its ending and ``truncated``.
-
-    ``doc_id, source, missing, place, word_cut, at_limit, truncated``.  Null
-    texts are left out; an empty text lacks its headers.  A mail that ends with
-    a full stop, dots, a name, a signature or a closing phrase is complete,
-    unless its final token is an unknown proper prefix of known words; in a
-    signature, where codes abound, such a token counts only at a length limit
-    of the source.
+    """Every document with the evidence on its ending, what decided and ``truncated``.
+
+    ``doc_id, source, missing, place, word_cut, at_limit, evidence, truncated``.
+    ``evidence`` is what decided: structure, word (the trie of words), length (an
+    open ending at a length limit of the source) or phrase (the trie of phrases:
+    an open ending that is none of the complete ones); null if the text is
+    complete.  Null texts are left out; an empty text lacks its headers.  A mail
+    that ends with a full stop, dots, a name, a signature or a closing phrase is
+    complete, unless its final token is an unknown proper prefix of known words;
+    in a signature, where codes abound, such a token counts only at a length
+    limit of the source.
     """
     both = cut(read_endings(documents, doc_id, text, source))
-    docs = both.filter("word is null").drop("word", "n")
-    vocabulary = cut(both.filter("word is not null").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= KNOWN).select("word"))
+    docs = both.filter("kind is null").drop("kind", "word", "n")
+    counts = both.filter("kind is not null").select("kind", "word", "n")
+    vocabulary = cut(counts.filter("kind = 'word'").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= KNOWN).select("word"))
     whole = F.col("token").isNotNull() & ~F.endswith("token", F.lit("�"))
     prefixes = known_prefixes(docs.filter(whole), vocabulary).withColumn("prefix", F.lit(True))
+    closings = closing_phrases(docs, counts).withColumn("closing", F.lit(True))
     limits = cut(length_limits(docs))  # a few per source
     on = lambda unit, name: limits.filter(F.col("unit") == unit).select("source", F.col("length").alias(name), F.lit(True).alias(f"at_{unit}"))
-    judged = docs.join(prefixes, "token", "left").join(on("chars", "n_chars"), ["source", "n_chars"], "left").join(on("bytes", "n_bytes"), ["source", "n_bytes"], "left")
-    broken = F.coalesce("prefix", F.lit(False)) | F.coalesce(F.endswith("token", F.lit("�")), F.lit(False))
-    at_limit = F.coalesce("at_chars", "at_bytes", F.lit(False))
-    judged = judged.withColumn("word_cut", broken).withColumn("at_limit", at_limit)
-    cut_off = F.col("missing").isNotNull() | (F.col("place") == "open") | (F.col("word_cut") & (F.col("place").isin("closing", "name") | (F.col("place") == "signature") & F.col("at_limit")))
-    return judged.select("doc_id", "source", "missing", "place", "word_cut", "at_limit", cut_off.alias("truncated"))
+    judged = docs.join(prefixes, "token", "left").join(closings, "phrase", "left")
+    judged = judged.join(on("chars", "n_chars"), ["source", "n_chars"], "left").join(on("bytes", "n_bytes"), ["source", "n_bytes"], "left")
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    place = F.when(F.col("place") != "phrase", F.col("place")).when(yes(F.col("closing")), "closing").otherwise("open")
+    judged = judged.withColumn("word_cut", yes(F.col("prefix")) | yes(F.endswith("token", F.lit("�")))).withColumn("at_limit", F.coalesce("at_chars", "at_bytes", F.lit(False))).withColumn("place", place)
+    return judged.select("doc_id", "source", "missing", "place", "word_cut", "at_limit", _evidence().alias("evidence"), _evidence().isNotNull().alias("truncated"))
+
+
+def _evidence() -> Column:
+    unfinished = F.col("place") == "open"
+    within_word = F.col("word_cut") & (F.col("place").isin("open", "closing", "name") | ((F.col("place") == "signature") & F.col("at_limit")))
+    return F.when(F.col("missing").isNotNull(), "structure").when(within_word, "word").when(unfinished & F.col("at_limit"), "length").when(unfinished, "phrase")
