@@ -115,8 +115,9 @@ def read_endings(documents: DataFrame, doc_id: str, text: str, source: str) -> D
                 rows.append((doc, where, len(body), len(body.encode("utf-8", "replace")), e["missing"], e["place"], e["token"], e["phrase"], None, None, None))
                 seen["word"].update(e["words"])
                 seen["stops"].update(e["stops"])
-                # the line a text ends with tells nothing about how lines go on
-                shut, open_ = zip(*(phrases_of(x if k < len(e["lines"]) - 1 else x[:-1]) for k, x in enumerate(e["lines"]))) if e["lines"] else ((), ())
+                # an open line at the end of a text tells nothing about how lines go on
+                whole = [x if k < len(e["lines"]) - 1 or SENTENCE_END.search(x[-1]) else x[:-1] for k, x in enumerate(e["lines"])]
+                shut, open_ = zip(*map(phrases_of, whole)) if whole else ((), ())
                 seen["ends"].update(set().union(*shut) | ({e["phrase"]} if e["phrase"] else set()))
                 seen["goes_on"].update(set().union(*open_))
             rows += [(None,) * 8 + (kind, w, n) for kind, counts in seen.items() for w, n in counts.items()]
