@@ -29,6 +29,7 @@ SIGNATURE_LINES = 4
 SHARD = 4  # first letters that words of one trie share
 KNOWN = 3  # documents that make a word known
 PHRASE_WORDS = 4  # depth of the trie of phrases
+RARE = 200
 
 
 def _phrase(line: str) -> str:
@@ -134,8 +135,9 @@ def closing_phrases(asked: DataFrame, counts: DataFrame) -> DataFrame:
 
     ``counts`` is ``kind, word, n``.  A node of the trie knows how many documents
     have a line that ends there and how many a line that goes on.  Complete is a
-    phrase that two documents end a line with and fewer go on from; of phrases
-    hardly seen, one whose first word begins no lines that go on and whose last
+    phrase that two documents end a line with and fewer go on from, unless it is
+    rare (one in ``RARE``) among the lines that begin with its first word, as
+    chance cuts are; of other phrases, one whose first word begins no lines that go on and whose last
     word is not a known one that never ends a sentence.
     """
     asked = asked.select("phrase").filter("phrase is not null").distinct()
@@ -148,7 +150,7 @@ def closing_phrases(asked: DataFrame, counts: DataFrame) -> DataFrame:
     for name in ("phrase", "first", "last"):
         asked = asked.join(node(name), name, "left")
     n = lambda name, what: F.coalesce(F.col(f"{name}_node")[what], F.lit(0))
-    usual = (n("phrase", "ends") >= 2) & (n("phrase", "ends") > n("phrase", "goes_on"))
+    usual = (n("phrase", "ends") >= 2) & (n("phrase", "ends") > n("phrase", "goes_on")) & (n("phrase", "ends") * RARE >= n("first", "goes_on"))
     begins = n("first", "goes_on") > n("first", "ends")
     inside = (n("last", "known") >= KNOWN) & (n("last", "stops") == 0) & (n("last", "ends") == 0)
     return asked.filter(usual | ~(begins | inside)).select("phrase")
