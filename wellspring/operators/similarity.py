@@ -287,65 +287,171 @@ def average_precision(rows: DataFrame, dims: int) -> DataFrame:
     """``id, label, ap, n_positive``: average precision of finding a row's label among its group by similarity.
 
     Ties in similarity go to the smaller id.  Rows without another row of their
-    label have no ap.  Queries are taken in blocks against the whole group.
+    label have no ap.  Queries stand in blocks of at most about ``BLOCK`` rows by
+    label (hot labels by row).  A task first reads the rows of its block's labels,
+    then all rows of the group batch by batch, and counts how many stand before
+    each positive, so it never holds a group.
     """
-    sizes = rows.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    placed = rows.join(sizes, "grp")
-    index = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("asks", F.lit(False))
-    queries = placed.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("asks", F.lit(True))
-
-    def rank(t: pa.Table) -> pa.Table:
-        asks = t["asks"].to_numpy(zero_copy_only=False)
-        x, ids = _matrix(t["vec"], dims), t["id"].to_numpy()
-        names, code = np.unique(np.array(t["label"].to_pylist(), object).astype(str), return_inverse=True)
-        q, i = np.flatnonzero(asks), np.flatnonzero(~asks)
-        i = i[np.argsort(ids[i], kind="stable")]
-        ap, pos = np.full(len(q), np.nan), np.zeros(len(q), np.int64)
-        for lo in range(0, len(q), 64):
-            r = q[lo : lo + 64]
-            s = np.round(x[r] @ x[i].T, 9)
-            own = ids[r][:, None] == ids[i][None]
-            s[own] = -np.inf
-            order = np.argsort(-s, axis=1, kind="stable")[:, :-1]
-            hit = np.take_along_axis(code[r][:, None] == code[i][None], order, 1)
-            pos[lo : lo + 64] = n = hit.sum(1)
-            at = np.cumsum(hit, 1) / np.arange(1, hit.shape[1] + 1)
-            ap[lo : lo + 64] = np.divide((at * hit).sum(1), n, out=np.full(len(r), np.nan), where=n > 0)
-        return pa.table({"id": pa.array(ids[q], pa.int64()), "label": pa.array(names[code[q]].tolist(), pa.string()), "ap": pa.array(ap, pa.float64(), from_pandas=True), "n_positive": pa.array(pos, pa.int64())})
-
-    both = queries.unionByName(index).select("grp", "block", "asks", "id", "label", "vec")
-    return both.groupBy("grp", "block").applyInArrow(rank, "id long, label string, ap double, n_positive long")
-
-
-def percent_replicating(rows: DataFrame, dims: int, n_null: int = 5_000, per_label: int = 32, seed: int = 3) -> DataFrame:
-    """``grp, label, observed, null_95, replicates``: a label's median pair similarity against chance.
-
-    The null takes ``max(2, fewest replicates)`` distinct labels, one row of
-    each, ``n_null`` times, from at most ``per_label`` rows of every label, the
-    first in a fixed random order (it is a sample by design).  Labels with one
-    row have no observed value and the flag 0.
+    size = F.ceil(F.count(F.lit(1)) / BLOCK).cast("int")
+    pieces = rows.groupBy("grp", "label").agg(size.alias("pieces"))
+    blocks = rows.groupBy("grp").agg(size.alias("blocks"))
+    placed = rows.join(pieces, ["grp", "label"]).join(blocks, "grp")
+    home = lambda piece: F.pmod(F.xxhash64("label", piece), F.col("blocks")).cast("int")
+    own = F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int")
+    homes = F.array_distinct(F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), home))
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    role = lambda n, block: placed.select("grp", block.alias("block"), F.lit(n).alias("role"), "id", "label", "vec")
+    asked = role(0, home(own)).unionByName(role(1, F.explode(homes))).unionByName(role(2, F.explode(every)))
+    asked = asked.repartition("grp", "block").sortWithinPartitions("grp", "block", "role", "id")
+
+    def run(batches):
+        block = _RankBlock(dims)
+        for b in batches:
+            key = list(zip(b.column("grp").to_pylist(), b.column("block").to_pylist(), b.column("role").to_pylist()))
+            edges = [0, *[i for i in range(1, len(key)) if key[i] != key[i - 1]], len(key)]
+            for lo, hi in zip(edges, edges[1:]):
+                if hi == lo:
+                    continue
+                if key[lo][:2] != block.key:
+                    yield from block.result()
+                    block = _RankBlock(dims, key[lo][:2])
+                part = b.slice(lo, hi - lo)
+                block.take(key[lo][2], part.column("id").to_numpy(), np.array(part.column("label").to_pylist(), object).astype(str), _matrix(part.column("vec"), dims))
+        yield from block.result()
+
+    return asked.mapInArrow(run, "id long, label string, ap double, n_positive long")
+
+
+class _RankBlock:
+    """The queries of one block, the similarities of their positives, and how many rows stand before each."""
+
+    def __init__(self, dims: int, key: tuple | None = None):
+        self.dims, self.key = dims, key
+        self.parts: dict[int, list] = {0: [], 1: []}
+        self.places: list[tuple[np.ndarray, np.ndarray]] | None = None
+
+    def take(self, role: int, ids: np.ndarray, labels: np.ndarray, x: np.ndarray) -> None:
+        if role < 2:
+            self.parts[role].append((ids, labels, x))
+        else:
+            self._prepare()
+            self._count(ids, x)
+
+    def _prepare(self) -> None:
+        if self.places is not None:
+            return
+        self.ids, self.labels, self.x = (np.concatenate(c) for c in zip(*self.parts[0]))
+        ids, labels, x = (np.concatenate(c) for c in zip(*self.parts[1]))
+        self.places, self.before = [], []
+        of = {name: np.flatnonzero(labels == name) for name in np.unique(self.labels)}
+        for i, name, q in zip(self.ids, self.labels, self.x):
+            at = of[name][ids[of[name]] != i]
+            s = np.round(x[at] @ q, 9)
+            order = np.lexsort((ids[at], -s))
+            self.places.append((-s[order], ids[at][order]))
+            self.before.append(np.zeros(len(at) + 1, np.int64))
+
+    def _count(self, ids: np.ndarray, x: np.ndarray) -> None:
+        for lo in range(0, len(self.ids), 256):
+            s = -np.round(x @ self.x[lo : lo + 256].T, 9)
+            for k in range(s.shape[1]):
+                far, names = self.places[lo + k]
+                if not len(far):
+                    continue
+                mine = ids != self.ids[lo + k]
+                v, who = s[mine, k], ids[mine]
+                first, past = np.searchsorted(far, v, "left"), np.searchsorted(far, v, "right")
+                if (tied := np.flatnonzero(past > first)).size:  # among equal similarities the ids decide
+                    keys = np.concatenate([far, v[tied]]), np.concatenate([names, who[tied]])
+                    kind = np.concatenate([np.zeros(len(far), int), np.ones(len(tied), int)])
+                    order = np.lexsort((kind, keys[1], keys[0]))
+                    past = past.copy()
+                    upto = np.cumsum(kind[order] == 0)
+                    past[tied[order[kind[order] == 1] - len(far)]] = upto[kind[order] == 1]
+                self.before[lo + k] += np.bincount(past, minlength=len(far) + 1)
+
+    def result(self):
+        if not self.parts[0]:
+            return
+        self._prepare()
+        ap = [float((np.arange(1, len(far) + 1) / (np.cumsum(b)[: len(far)] + 1)).mean()) if len(far) else None for (far, _), b in zip(self.places, self.before)]
+        yield pa.RecordBatch.from_arrays([pa.array(self.ids, pa.int64()), pa.array(self.labels.tolist(), pa.string()), pa.array(ap, pa.float64()), pa.array([len(f) for f, _ in self.places], pa.int64())], names=["id", "label", "ap", "n_positive"])
+
+
+def chance_sets(rows: DataFrame, dims: int, n_null: int, seed: int) -> DataFrame:
+    """``grp, draw, labels, median``: sets of rows of different labels and the median similarity of their pairs.
+
+    A set has ``max(2, fewest replicates)`` labels of the group, drawn without
+    replacement, and any one row of each.  A group gets as many sets as leave
+    about ``n_null`` without any one label; none if it has too few labels.
+    """
+    counts = cut(rows.groupBy("grp", "label").agg(F.count(F.lit(1)).alias("n")))
+    shape = counts.groupBy("grp").agg(F.count(F.lit(1)).alias("labels"), F.greatest(F.lit(2), F.coalesce(F.min(F.when(F.col("n") > 1, F.col("n"))), F.lit(2))).cast("long").alias("reps"))
+    shape = shape.filter("labels > reps").withColumn("draws", F.ceil(1.1 * n_null * F.col("labels") / (F.col("labels") - F.col("reps"))).cast("long") + 50)
+
+    def draw(batches):
+        for b in batches:
+            for grp, labels, reps, draws in zip(*(b.column(c).to_pylist() for c in ("grp", "labels", "reps", "draws"))):
+                rng = np.random.default_rng((seed, *grp.encode()))
+                step = max(1, 100_000 // max(labels, reps))
+                for lo in range(0, draws, step):
+                    n = min(step, draws - lo)
+                    if 4 * reps > labels:
+                        pick = np.argsort(rng.random((n, labels)), axis=1)[:, :reps]
+                    else:  # few of many labels: draw again where one came twice
+                        pick = rng.integers(labels, size=(n, reps))
+                        while len(twice := np.flatnonzero((np.diff(np.sort(pick, 1), axis=1) == 0).any(1))):
+                            pick[twice] = rng.integers(labels, size=(len(twice), reps))
+                    yield pa.RecordBatch.from_arrays([pa.array([grp] * pick.size, pa.string()), pa.array(np.repeat(np.arange(lo, lo + n), reps)), pa.array(pick.ravel()), pa.array(rng.random(pick.size))], names=["grp", "draw", "label_no", "u"])
+
+    picks = shape.select("grp", "labels", "reps", "draws").mapInArrow(draw, "grp string, draw long, label_no long, u double")
+    # rows are numbered within salts of a label, salts by running counts, so that hot labels are not sorted as one
+    numbered = counts.withColumn("label_no", F.row_number().over(Window.partitionBy("grp").orderBy("label")) - 1)
+    salted = rows.join(counts, ["grp", "label"]).withColumn("salt", F.pmod(F.xxhash64("id", F.lit(seed)), F.ceil(F.col("n") / BLOCK)).cast("int"))
+    placed = salted.withColumn("place", F.row_number().over(Window.partitionBy("grp", "label", "salt").orderBy("id")) - 1).select("grp", "label", "salt", "place", "id", "vec")
+    sizes = salted.groupBy("grp", "label", "salt").agg(F.count(F.lit(1)).alias("size"))
+    ahead = F.sum("size").over(Window.partitionBy("grp", "label").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.withColumn("start", F.coalesce(ahead, F.lit(0)))
+    at = F.least(F.floor(F.col("u") * F.col("n")), F.col("n") - 1)
+    wanted = picks.join(numbered, ["grp", "label_no"]).withColumn("at", at).join(sizes, ["grp", "label"]).filter("at >= start and at < start + size")
+    drawn = wanted.select("grp", "draw", "label", "salt", (F.col("at") - F.col("start")).cast("int").alias("place")).join(placed, ["grp", "label", "salt", "place"])
+    sets = drawn.groupBy("grp", "draw").agg(F.collect_list("label").alias("labels"), F.collect_list("vec").alias("vecs"))
+
+    def middle(batches):
+        for b in batches:
+            out = []
+            for vecs in b.column("vecs").to_pylist():
+                u = np.frombuffer(b"".join(vecs), np.float64).reshape(-1, dims)
+                out.append(float(np.median((u @ u.T)[np.triu_indices(len(u), 1)])))
+            yield pa.RecordBatch.from_arrays([b.column("grp"), b.column("draw"), b.column("labels"), pa.array(out, pa.float64())], names=["grp", "draw", "labels", "median"])
+
+    return sets.mapInArrow(middle, "grp string, draw long, labels array<string>, median double")
+
+
+def percent_replicating(rows: DataFrame, dims: int, n_null: int = 5_000, seed: int = 3) -> DataFrame:
+    """``grp, label, n, observed, null_95, replicates``: a label's median pair similarity against chance.
+
+    The null of a label are ``n_null`` sets of rows of other labels
+    (:func:`chance_sets`): of the group's sets the first that do not hold the
+    label, which is the same as drawing from the others only.  Any row can be
+    drawn.  Labels with one row have no observed value and the flag 0; without
+    enough other labels there is no null and the flag is 0.
     """
     observed = label_pairs(rows, dims, -1.0, same_only=True).filter("label_a = label_b").select("grp", F.col("label_a").alias("label"), F.col("similarity").alias("observed"))
     counts = rows.groupBy("grp", "label").agg(F.count(F.lit(1)).alias("n"))
-    salted = rows.withColumn("h", F.xxhash64("id", F.lit(seed))).withColumn("salt", F.pmod(F.col("h"), F.lit(64)))
-    few = salted.withColumn("r", F.row_number().over(Window.partitionBy("grp", "label", "salt").orderBy("h", "id"))).filter(F.col("r") <= per_label)
-    few = few.withColumn("r", F.row_number().over(Window.partitionBy("grp", "label").orderBy("h", "id"))).filter(F.col("r") <= per_label)
-    least = counts.filter("n > 1").groupBy("grp").agg(F.min("n").alias("least"))
-
-    def chance(t: pa.Table) -> pa.Table:
-        x, label = _matrix(t["vec"], dims), np.array(t["label"].to_pylist(), object).astype(str)
-        order = np.lexsort((t["id"].to_numpy(), label))
-        x, label = x[order], label[order]
-        _, start, size = np.unique(label, return_index=True, return_counts=True)
-        reps = min(max(2, t["least"][0].as_py() or 2), len(start))
-        rng = np.random.default_rng(seed)
-        meds = []
-        for _ in range(n_null if reps > 1 else 0):
-            pick = rng.choice(len(start), reps, replace=False)
-            u = x[start[pick] + (rng.random(reps) * size[pick]).astype(int)]
-            meds.append(np.median((u @ u.T)[np.triu_indices(reps, 1)]))
-        return pa.table({"grp": pa.array([t["grp"][0].as_py()], pa.string()), "null_95": pa.array([float(np.quantile(meds, 0.95)) if meds else None], pa.float64())})
-
-    null = few.join(least, "grp", "left").select("grp", "id", "label", "vec", "least").groupBy("grp").applyInArrow(chance, "grp string, null_95 double")
-    out = counts.join(observed, ["grp", "label"], "left").join(null, "grp", "left")
+
+    def limits(t: pa.Table) -> pa.Table:  # the sets of a group are bounded by n_null
+        order = np.argsort(t["draw"].to_numpy())
+        med = t["median"].to_numpy()[order]
+        held: dict[str | None, list[int]] = {None: []}
+        sets = t["labels"].to_pylist()
+        for k, i in enumerate(order):
+            for label in sets[i]:
+                held.setdefault(label, []).append(k)
+        q = [float(np.quantile(np.delete(med, at)[:n_null], 0.95)) for at in held.values()]
+        return pa.table({"grp": pa.array([t["grp"][0].as_py()] * len(q), pa.string()), "label": pa.array(list(held), pa.string()), "null_95": pa.array(q, pa.float64())})
+
+    found = cut(chance_sets(rows, dims, n_null, seed).groupBy("grp").applyInArrow(limits, "grp string, label string, null_95 double"))
+    usual = found.filter("label is null").select("grp", F.col("null_95").alias("usual"))  # of labels in no set
+    out = counts.join(observed, ["grp", "label"], "left").join(found.filter("label is not null"), ["grp", "label"], "left").join(usual, "grp", "left").withColumn("null_95", F.coalesce("null_95", "usual"))
     return out.select("grp", "label", "n", F.round("observed", 6).alias("observed"), F.round("null_95", 6).alias("null_95"), F.coalesce((F.col("observed") > F.col("null_95")).cast("int"), F.lit(0)).alias("replicates"))

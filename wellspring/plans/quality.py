@@ -198,7 +198,7 @@ FROM (SELECT plate, channel, {by} AS g, count(value) AS n, sum(value) AS s, sum(
 
 
 ORACLES = {
-    "qc_aggregate": f"WITH {_SITES} SELECT plate, well, " + ", ".join(f"round(avg(CASE WHEN isfinite({c}) THEN {c} END), 6) AS {c}" for c in COLUMNS[:6]) + ", " + ", ".join(f"coalesce(sum({c}), 0)::BIGINT AS {c}" for c in COUNTS) + " FROM sites GROUP BY 1, 2",
+    "qc_aggregate": f"WITH {_SITES} SELECT plate, well, " + ", ".join(f"round(avg(CASE WHEN isfinite({c}) THEN {c} END), 6) AS {c}" for c in COLUMNS) + ", " + ", ".join(f"coalesce(sum({c}), 0)::BIGINT AS {c}" for c in COUNTS) + " FROM sites GROUP BY 1, 2",
     "qc_verdicts": f"WITH {_JUDGED} SELECT metric, channel, count(*) FILTER (passes) AS n_pass, count(*) FILTER (NOT passes) AS n_fail, count(*) FILTER (passes IS NULL) AS n_none FROM j GROUP BY 1, 2",
     "qc_adaptive_bounds": f"WITH {_ADAPT} SELECT plate, metric, channel, n, round(m - width, 6) AS lo, round(m + width, 6) AS hi FROM band",
     "qc_adaptive_verdicts": f"""WITH {_ADAPT}, o AS (SELECT j.*, coalesce(value < m - width OR value > m + width, false) AS outside FROM j LEFT JOIN band USING (plate, metric, channel))

@@ -14,8 +14,6 @@ from wellspring.plans.tables import table
 from wellspring.session import cut
 
 DIMS = 64
-#: floor of the SQL equivalents' pairs; the queries have none
-LEAST_EDGE = 0.3
 
 
 def _profiles(spark, folder) -> DataFrame:
@@ -247,7 +245,7 @@ _ORDINAL = _ranked("row_number() OVER (PARTITION BY id ORDER BY x, pos)")
 _BY_LABEL = """, p AS (SELECT a.label, list_dot_product(a.u, b.u) AS s FROM u a JOIN u b ON a.label = b.label AND a.id < b.id), n AS (SELECT label, count(*) AS n FROM u GROUP BY 1)
 SELECT label, n, round(m, 6) AS mean_sim, round(d, 6) AS std_sim FROM n LEFT JOIN (SELECT label, avg(s) AS m, stddev_pop(s) AS d FROM p GROUP BY 1) USING (label)"""
 _PAIRS = f"""{_COS}, s AS (SELECT a.grp, least(a.label, b.label) AS label_a, greatest(a.label, b.label) AS label_b, greatest(0, least(1, list_dot_product(a.u, b.u))) AS s FROM u a JOIN u b ON a.grp = b.grp AND a.id < b.id),
-pairs AS (SELECT grp, label_a, label_b, median(s) AS similarity, count(*) AS n_pairs FROM s GROUP BY 1, 2, 3 HAVING median(s) >= {LEAST_EDGE})"""
+pairs AS (SELECT grp, label_a, label_b, median(s) AS similarity, count(*) AS n_pairs FROM s GROUP BY 1, 2, 3)"""
 _FDR = f"""k AS (SELECT grp, label_a = label_b AS same, floor(s * 10000 + 0.5) / 10000 AS sim FROM s),
 cross_ AS (SELECT grp, sim, row_number() OVER (PARTITION BY grp ORDER BY sim) - 1 AS ix, count(*) OVER (PARTITION BY grp) AS m FROM k WHERE NOT same),
 draws AS (SELECT grp, least(1000, m) AS n_null, least(m - 1, floor(((i + 0.5) * 0.6180339887498949 - floor((i + 0.5) * 0.6180339887498949)) * m))::BIGINT AS ix FROM (SELECT DISTINCT grp, m FROM cross_), (SELECT unnest(range(1000)) AS i) WHERE i < least(1000, m)),
@@ -285,7 +283,7 @@ SELECT grp, label, pos::INT AS pos, round(m, 6) AS median, round(share, 6) AS sh
     "subprofile_median": f"WITH {_VALUES} SELECT grp, label, pos::INT AS pos, count(*) AS n, round(median(x), 6) + 0.0 AS median FROM x GROUP BY 1, 2, 3",
     "graph_layout": f"WITH {_V}, n AS (SELECT DISTINCT grp, label FROM v), o AS (SELECT grp, label, 2 * 3.141592653589793 * (row_number() OVER (PARTITION BY grp ORDER BY label) - 1) / count(*) OVER (PARTITION BY grp) AS a FROM n) SELECT grp, label, round(cos(a), 6) AS x, round(sin(a), 6) AS y FROM o",
     "silhouette": f"""WITH v AS (SELECT profile_id AS id, cohort AS label, features::DOUBLE[] AS f FROM profiles WHERE {_USABLE} AND cohort IS NOT NULL),
-d AS (SELECT a.id, a.label, b.label AS other, sum(list_distance(a.f, b.f)) AS t, count(*) AS n FROM v a, v b WHERE a.id % 50 = 0 GROUP BY 1, 2, 3),
+d AS (SELECT a.id, a.label, b.label AS other, sum(list_distance(a.f, b.f)) AS t, count(*) AS n FROM v a, v b GROUP BY 1, 2, 3),
 s AS (SELECT id, label, max(t / nullif(n - 1, 0)) FILTER (other = label) AS a, min(t / n) FILTER (other <> label) AS b FROM d GROUP BY 1, 2) SELECT id, label, round(coalesce((b - a) / nullif(greatest(a, b), 0), 0), 6) AS silhouette FROM s""",
     "label_codes": "SELECT label, row_number() OVER (ORDER BY label) - 1 AS code FROM (SELECT DISTINCT upper(trim(Metadata_Perturbation)) AS label FROM profiles WHERE Metadata_Perturbation IS NOT NULL)",
 }
