@@ -19,12 +19,21 @@ def test_components_degrees_communities(spark):
     assert {r.label: r.degree for r in G.degrees(nodes, edges).collect()} == {"a": 2, "b": 2, "c": 3, "d": 3, "e": 2, "f": 2, "z": 0}
     want = {**dict.fromkeys("abc", "a"), **dict.fromkeys("def", "d"), "z": "z"}
     assert {r.label: r.community for r in G.communities(nodes, edges).collect()} == want
-    parts = {r.label: r.community for r in G.propagated_communities(nodes, edges).collect()}
-    assert set(parts) == set("abcdefz") and parts["z"] == "z"
     good = G.modularity(edges, G.communities(nodes, edges)).first().modularity
     assert good > G.modularity(edges, G.components(nodes, edges).withColumnRenamed("component", "community")).first().modularity
 
 
+def test_communities_of_planted_groups(spark):
+    """Twelve dense groups with few links between them are found, in each of two graphs at once; no edges, no communities."""
+    rng = np.random.default_rng(3)
+    names = [f"v{i:03}" for i in range(96)]
+    edges = [(g, a, b, 1.0) for g in ("g", "h") for i, a in enumerate(names) for j, b in enumerate(names) if i < j and rng.random() < (0.9 if i // 8 == j // 8 else 0.01)]
+    nodes = spark.createDataFrame([(g, x) for g in ("g", "h") for x in names], "grp string, label string")
+    found = {(r.grp, r.label): r.community for r in G.communities(nodes, spark.createDataFrame(edges, EDGE)).collect()}
+    assert all(found[g, x] == names[i // 8 * 8] for g in ("g", "h") for i, x in enumerate(names))
+    assert {r.community == r.label for r in G.communities(nodes, spark.createDataFrame([], EDGE)).collect()} == {True}
+
+
 def test_long_chain_is_one_component(spark):
     names = [f"n{i:03}" for i in range(70)]
     nodes = spark.createDataFrame([("g", x) for x in names], "grp string, label string")
@@ -101,6 +110,44 @@ def test_average_precision_first_last_none(spark):
     assert got[0][0] == 1.0 and got[4] == (None, 0) and got[2] == (None, 0)
 
 
+def test_average_precision_with_ties_hot_labels_and_small_blocks(spark, monkeypatch):
+    """Blocks, split labels and copies give what one sorted list per row gives."""
+    monkeypatch.setattr(S, "BLOCK", 8)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(50, 4))
+    x[10:30] = x[rng.integers(0, 10, size=20)]
+    labels = ["hot"] * 25 + [f"s{i % 8}" for i in range(25)]
+    got = {r.id: (r.ap, r.n_positive) for r in S.average_precision(rows_of(spark, x, labels), 4).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    s = np.round(u @ u.T, 9)
+    for i in range(50):
+        order = sorted((j for j in range(50) if j != i), key=lambda j: (-s[i, j], j))
+        hit = np.array([labels[j] == labels[i] for j in order])
+        want = (np.cumsum(hit) / np.arange(1, 50))[hit].mean() if hit.any() else None
+        assert got[i][1] == hit.sum() and (want is None or abs(got[i][0] - want) < 1e-9)
+
+
+def test_null_of_a_label_leaves_it_out_and_reaches_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(S, "BLOCK", 16)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(120, 6))
+    labels = ["hot"] * 60 + [f"s{i % 12}" for i in range(60)]
+    rows = rows_of(spark, x, labels, "ordinal")
+    sets = S.chance_sets(rows, 6, 400, 3).collect()
+    assert all(len(set(r.labels)) == len(r.labels) == 5 for r in sets)
+    assert all(sum(name not in r.labels for r in sets) >= 400 for name in set(labels))
+    got = {r.label: r for r in S.percent_replicating(rows, 6, n_null=400).collect()}
+    u = S.unit_rows(x, "ordinal")
+    of = {name: np.flatnonzero(np.array(labels) == name) for name in set(labels)}
+    draws = []
+    for _ in range(4_000):
+        pick = [rng.choice(of[name]) for name in rng.choice([n for n in of if n != "hot"], 5, replace=False)]
+        draws.append(np.median((u[pick] @ u[pick].T)[np.triu_indices(5, 1)]))
+    assert abs(got["hot"].null_95 - np.quantile(draws, 0.95)) < 0.06
+    few = S.percent_replicating(rows.filter("label in ('hot', 's1')"), 6, n_null=50).collect()
+    assert all(r.null_95 is None and r.replicates == 0 for r in few)
+
+
 def test_plate_layout_fills_wells_once(spark):
     layout = Layout()
     names = spark.createDataFrame([(f"C{i:03}",) for i in range(50)] + [("C000",), (None,)], "c string")

@@ -39,114 +39,87 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         low = links.join(state.select("grp", F.col("label").alias("dst"), F.col("component").alias("near")), ["grp", "dst"]).groupBy("grp", F.col("src").alias("label")).agg(F.min("near").alias("near"))
         stepped = state.join(low, ["grp", "label"], "left").withColumn("step", F.least("component", F.coalesce("near", "component")))
         jump = state.select("grp", F.col("label").alias("step"), F.col("component").alias("jump"))
-        moved = cut(stepped.join(jump, ["grp", "step"], "left").select("grp", "label", "component", F.least("step", F.coalesce("jump", "step")).alias("next")))
+        moved = cut(stepped.join(jump, ["grp", "step"], "left").select("grp", "label", "component", F.least("step", F.coalesce("jump", "step")).alias("next")), looping=True)
         state = moved.select("grp", "label", F.col("next").alias("component"))
         if moved.filter("next < component").isEmpty():
             return state
 
 
-def _local_moving(weights: dict[int, dict[int, float]], loops: dict[int, float]) -> dict[int, int]:
-    """One level of modularity optimisation: nodes move to the neighbouring community of largest gain until none gains."""
-    degree = {v: sum(near.values()) + 2 * loops.get(v, 0.0) for v, near in weights.items()}
-    total = sum(degree.values()) or 1.0
-    home = {v: v for v in weights}
-    mass = dict(degree)
-    moved = True
-    while moved:
-        moved = False
-        for v in sorted(weights):
-            mass[home[v]] -= degree[v]
-            toward: dict[int, float] = {home[v]: 0.0}
-            for u, w in weights[v].items():
-                toward[home[u]] = toward.get(home[u], 0.0) + w
-            best = max(sorted(toward), key=lambda c: (round(toward[c] - degree[v] * mass[c] / total, 12), c == home[v]))
-            moved |= best != home[v]
-            home[v] = best
-            mass[best] += degree[v]
-    return home
-
-
-def _communities_of(edges: list[tuple[str, str, float]]) -> dict[str, str]:
-    """Modularity communities of one graph, each named after its smallest label."""
-    names = sorted({x for a, b, _ in edges for x in (a, b)})
-    at = {x: i for i, x in enumerate(names)}
-    weights: dict[int, dict[int, float]] = {i: {} for i in range(len(names))}
-    for a, b, w in edges:
-        weights[at[a]][at[b]] = weights[at[b]][at[a]] = w
-    member = list(range(len(names)))
-    loops: dict[int, float] = {}
-    while True:
-        home = _local_moving(weights, loops)
-        if len(set(home.values())) == len(home):
-            break
-        member = [home[m] for m in member]
-        joined: dict[int, dict[int, float]] = {c: {} for c in set(home.values())}
-        inner: dict[int, float] = {}
-        for v, near in weights.items():
-            inner[home[v]] = inner.get(home[v], 0.0) + loops.get(v, 0.0)
-            for u, w in near.items():
-                if home[u] == home[v]:
-                    inner[home[v]] += w / 2
-                else:
-                    joined[home[v]][home[u]] = joined[home[v]].get(home[u], 0.0) + w
-        weights, loops = joined, inner
-    first: dict[int, str] = {}
-    for name, c in zip(names, member):
-        first.setdefault(c, name)
-    return {name: first[c] for name, c in zip(names, member)}
-
-
-#: edges of a group that one task takes; larger graphs are settled by label propagation over DataFrames
-GRAPH_EDGES = 2_000_000
+#: rounds in which a hashed half of the nodes moves; afterwards one node per community does
+HALVES = 6
 
 
-def communities(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``grp, label, community``: deterministic modularity optimisation per group; singletons keep their own label.
+def _moved(links: DataFrame, state: DataFrame) -> DataFrame:
+    """``state`` (``grp, node, home, deg, total``) after nodes have moved to the neighbouring homes of largest modularity gain.
 
-    Nodes move to the neighbouring community of largest gain, communities are
-    joined to nodes, and so on until nothing gains (not the Leiden method, whose
-    refinement is left out).  Communities are named after their smallest label.
+    First a hashed half of the nodes moves at a time.  Then those nodes move that
+    gain most among all that want to leave or enter their old or their new home:
+    such moves do not touch each other, so each round gains and the rounds end.
+    Stops when no node wants to move.
     """
-    large = edges.groupBy("grp").count().filter(F.col("count") > GRAPH_EDGES).select("grp")
-    large = cut(large)
-
-    def settle(pdf):
-        import pandas as pd
-
-        found = _communities_of(list(zip(pdf.label_a, pdf.label_b, pdf.similarity)))
-        return pd.DataFrame({"grp": pdf.grp.iloc[0], "label": list(found), "community": list(found.values())})
-
-    small = edges.select("grp", "label_a", "label_b", "similarity").join(large, "grp", "left_anti").groupBy("grp").applyInPandas(settle, "grp string, label string, community string")
-    if not large.isEmpty():
-        small = small.unionByName(propagated_communities(nodes.join(large, "grp", "left_semi"), edges.join(large, "grp", "left_semi")))
-    return nodes.select("grp", "label").join(small, ["grp", "label"], "left").withColumn("community", F.coalesce("community", "label"))
+    keep = ["grp", "node", "home", "deg", "total"]
+    turn = 0
+    while True:
+        mass = state.groupBy("grp", "home").agg(F.sum("deg").alias("mass"))
+        here = state.join(mass, ["grp", "home"]).select("grp", "node", F.col("home").alias("own"), "deg", "total", (F.col("mass") - F.col("deg")).alias("rest"))
+        homes = state.select("grp", F.col("node").alias("dst"), "home")
+        toward = links.join(homes, ["grp", "dst"]).groupBy("grp", F.col("src").alias("node"), "home").agg(F.sum("weight").alias("w"))
+        options = here.join(toward.join(mass, ["grp", "home"]), ["grp", "node"], "left")
+        at_home = F.coalesce(F.col("home") == F.col("own"), F.lit(False))
+        gain = lambda w, rest: F.round(w - F.col("deg") * rest / F.col("total"), 9)
+        leave = F.when(F.col("home").isNotNull() & ~at_home, gain(F.col("w"), F.col("mass")))
+        best = options.withColumn("gain", leave).groupBy("grp", "node", "own", "deg", "total").agg(
+            F.min_by("home", F.when(F.col("gain").isNotNull(), F.struct(-F.col("gain"), "home"))).alias("best"), F.max("gain").alias("there"),
+            gain(F.coalesce(F.max(F.when(at_home, F.col("w"))), F.lit(0.0)), F.max("rest")).alias("stay"))
+        best = best.select("grp", "node", "own", "deg", "total", "best", (F.col("there") - F.col("stay")).alias("gain"), F.coalesce(F.col("there") > F.col("stay"), F.lit(False)).alias("wants"))
+        if turn < HALVES:
+            free = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(2)) == 0
+        else:
+            best = cut(best, looping=True)
+            touched = best.filter("wants").select("grp", "node", "gain", F.explode(F.array("own", "best")).alias("home"))
+            first = touched.groupBy("grp", "home").agg(F.max_by("node", F.struct("gain", "node")).alias("node")).groupBy("grp", "node").agg((F.count(F.lit(1)) == 2).alias("free"))
+            best, free = best.join(first, ["grp", "node"], "left"), F.coalesce("free", F.lit(False))
+        after = cut(best.withColumn("home", F.when(F.col("wants") & free, F.col("best")).otherwise(F.col("own"))).select(*keep, "wants"), looping=True)
+        state = after.select(*keep)
+        if after.filter("wants").isEmpty():
+            return state
+        turn += 1
 
 
-def propagated_communities(nodes: DataFrame, edges: DataFrame, rounds: int = 12) -> DataFrame:
-    """``grp, label, community``: label propagation by edge weight, deterministic, for graphs of any size.
+def communities(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``grp, label, community``: modularity optimisation by moving, refining and joining nodes; singletons keep their own label.
 
-    Every node starts alone; in each round one half of the nodes (by a fixed
-    hash, alternating) moves to the community that most of its neighbours'
-    weight lies in, its own on a tie, else the smallest.  Stops when nothing
-    moves.  It is not the Leiden method: communities are numbered by their
-    smallest member's label, and singletons keep their own.
+    On every level nodes move between communities until none gains; every
+    community is refined by the same moves among its own nodes alone; the refined
+    parts become the nodes of the next level and start in the communities found.
+    Ends when every community is one node.  All steps are joins and sums, the
+    same at every size.  Communities are named after their smallest label.
     """
-    links = cut(_both_ways(edges))
-    state = cut(nodes.select("grp", "label", F.col("label").alias("community")).distinct())
-    still = 0
-    for turn in range(rounds):
-        votes = links.join(state.select("grp", F.col("label").alias("dst"), "community"), ["grp", "dst"]).groupBy("grp", F.col("src").alias("label"), "community").agg(F.round(F.sum("weight"), 9).alias("w"))
-        votes = votes.join(state.select("grp", "label", F.col("community").alias("own")), ["grp", "label"])
-        order = [F.col("w").desc(), (F.col("community") == F.col("own")).desc(), F.col("community")]
-        best = votes.withColumn("r", F.row_number().over(Window.partitionBy("grp", "label").orderBy(*order))).filter("r = 1").select("grp", "label", F.col("community").alias("best"))
-        turns = F.pmod(F.xxhash64("label"), F.lit(2)) == turn % 2
-        moved = cut(state.join(best, ["grp", "label"], "left").select("grp", "label", "community", F.when(turns & F.col("best").isNotNull(), F.col("best")).otherwise(F.col("community")).alias("next")))
-        state = moved.select("grp", "label", F.col("next").alias("community"))
-        still = still + 1 if moved.filter("next <> community").isEmpty() else 0
-        if still == 2:
+    both = _both_ways(edges)
+    deg = both.groupBy("grp", F.col("src").alias("node")).agg(F.sum("weight").alias("deg"))
+    sums = deg.groupBy("grp").agg(F.sum("deg").alias("total"))
+    links = cut(both.groupBy("grp", "src", "dst").agg(F.max("weight").alias("weight")))
+    state = cut(deg.join(sums, "grp").select("grp", "node", F.col("node").alias("home"), "deg", "total"))
+    where = state.select("grp", F.col("node").alias("label"), "node")
+    while True:
+        state = _moved(links, state)
+        if state.groupBy("grp", "home").count().filter("count > 1").isEmpty():
             break
-    name = state.groupBy("grp", "community").agg(F.min("label").alias("name"))
-    return state.join(name, ["grp", "community"]).select("grp", "label", F.col("name").alias("community"))
+        home = lambda end: state.select("grp", F.col("node").alias(end), F.col("home").alias(f"{end}_home"))
+        inside = links.join(home("src"), ["grp", "src"]).join(home("dst"), ["grp", "dst"]).filter("src_home = dst_home").select("grp", "src", "dst", "weight")
+        parts = _moved(cut(inside, looping=True), state.withColumn("home", F.col("node"))).select("grp", "node", F.col("home").alias("part"))
+        if parts.groupBy("grp", "part").count().filter("count > 1").isEmpty():  # nothing to refine: join the communities as they are
+            parts = state.select("grp", "node", F.col("home").alias("part"))
+        parts = cut(parts, looping=True)
+        of = lambda end: parts.select("grp", F.col("node").alias(end), F.col("part").alias(f"{end}_part"))
+        joined = links.join(of("src"), ["grp", "src"]).join(of("dst"), ["grp", "dst"]).filter("src_part <> dst_part")
+        links = cut(joined.groupBy("grp", F.col("src_part").alias("src"), F.col("dst_part").alias("dst")).agg(F.sum("weight").alias("weight")), looping=True)
+        state = cut(state.join(parts, ["grp", "node"]).groupBy("grp", F.col("part").alias("node")).agg(F.min("home").alias("home"), F.sum("deg").alias("deg"), F.first("total").alias("total")), looping=True)
+        where = cut(where.join(parts, ["grp", "node"]).select("grp", "label", F.col("part").alias("node")), looping=True)
+    found = where.join(state.select("grp", "node", "home"), ["grp", "node"])
+    name = found.groupBy("grp", "home").agg(F.min("label").alias("community"))
+    named = found.join(name, ["grp", "home"]).select("grp", "label", "community")
+    return nodes.select("grp", "label").join(named, ["grp", "label"], "left").withColumn("community", F.coalesce("community", "label"))
 
 
 def modularity(edges: DataFrame, membership: DataFrame) -> DataFrame:

@@ -333,7 +333,7 @@ class _RankBlock:
     def take(self, role: int, ids: np.ndarray, labels: np.ndarray, x: np.ndarray) -> None:
         if role < 2:
             self.parts[role].append((ids, labels, x))
-        else:
+        elif self.parts[0]:  # a block may have no queries
             self._prepare()
             self._count(ids, x)
 
