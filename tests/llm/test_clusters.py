@@ -51,6 +51,24 @@ def test_empty_table(spark):
     assert ward_division(none, "id", "v", D).count() == 0
 
 
+@pytest.mark.parametrize("block", [8_192, 25])
+def test_division_into_mutually_similar_clusters(spark, block):
+    """Planted groups come out whole and similar, noise alone; twice the same; also where cells are divided in pieces."""
+    x = groups(2)
+    df = frame(spark, x)
+    plan = ClusterPlan(rows_per_cluster=60, block=block)
+    run = lambda: {r.id: r.cluster_key for r in ward_division(df, "id", "v", D, plan).collect()}
+    got = run()
+    assert got == run() and len(got) == len(x)
+    rows = describe(unit_vectors(df, "id", "v", D), ward_division(df, "id", "v", D, plan), D).collect()
+    assert all(r.pair_cosine >= 0.499 for r in rows if block > 1_000) and sorted(r.cluster_key for r in rows) == sorted(set(got.values()))
+    linked = brute(x, 0.8, 9)
+    for key in set(linked.values()):
+        inside = [got[i] for i, k in linked.items() if k == key]
+        assert block < 1_000 or len(set(inside)) == 1
+        assert max(map(inside.count, set(inside))) >= 0.3 * len(inside)
+
+
 def test_division_and_description_cover_every_row(spark):
     x = groups(1)
     df = frame(spark, x)

@@ -133,14 +133,15 @@ class CFTree:
         return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def ward(n: np.ndarray, ls: np.ndarray, clusters: int) -> np.ndarray:
-    """Labels of the leaves after Ward agglomeration down to ``clusters`` (nearest-neighbour chain)."""
+def merges_of(n: np.ndarray, ls: np.ndarray) -> list[tuple[float, int, int]]:
+    """Ward's merges (height, leaf of one side, leaf of the other) from low to high, by the nearest-neighbour chain."""
     k = len(n)
     size, mean = n.astype(float).copy(), ls / n[:, None]
     live = np.ones(k, bool)
     sq = (mean**2).sum(1)
     merges, chain = [], []
-    while live.sum() > 1:
+    left = k
+    while left > 1:
         if not chain:
             chain.append(int(np.flatnonzero(live)[0]))
         while True:
@@ -159,14 +160,59 @@ def ward(n: np.ndarray, ls: np.ndarray, clusters: int) -> np.ndarray:
         size[j], live[i] = total, False
         sq[j] = mean[j] @ mean[j]
         chain = chain[:-2]
-    label = np.arange(k)
+        left -= 1
+    return sorted(merges, key=lambda m: m[0])
+
+
+def _root(label: np.ndarray, i: int) -> int:
+    while label[i] != i:
+        label[i] = label[label[i]]
+        i = label[i]
+    return i
+
+
+def _numbered(label: np.ndarray) -> np.ndarray:
+    return np.unique([_root(label, i) for i in range(len(label))], return_inverse=True)[1]
+
 
-    def top(i):
-        while label[i] != i:
-            label[i] = label[label[i]]
-            i = label[i]
-        return i
+def ward(n: np.ndarray, ls: np.ndarray, clusters: int) -> np.ndarray:
+    """Labels of the leaves after Ward agglomeration down to ``clusters``."""
+    label = np.arange(len(n))
+    for _, i, j in merges_of(n, ls)[: max(0, len(n) - clusters)]:
+        label[_root(label, i)] = _root(label, j)
+    return _numbered(label)
+
+
+def pair_cosine(n: np.ndarray, ls: np.ndarray) -> np.ndarray:
+    """Mean cosine over the pairs of clusters of ``n`` unit vectors with sums ``ls``; 1 for a single vector."""
+    square = (ls * ls).sum(-1)
+    return np.where(n > 1, (square - n) / np.maximum(n * (n - 1), 1), 1.0)
 
-    for _, i, j in sorted(merges, key=lambda m: m[0])[: max(0, k - clusters)]:
-        label[top(i)] = top(j)
-    return np.unique([top(i) for i in range(k)], return_inverse=True)[1]
+
+def ward_mutual(n: np.ndarray, ls: np.ndarray, least: float) -> np.ndarray:
+    """Labels after Ward agglomeration of unit vectors, cut where the mean cosine over a cluster's pairs would fall below ``least``.
+
+    Leaves without any leaf of cosine ``least`` stay alone without being agglomerated.
+    """
+    label = np.arange(len(n))
+    if len(n) < 2:
+        return label
+    unit = ls / np.maximum(np.linalg.norm(ls, axis=1, keepdims=True), 1e-300)
+    near = np.zeros(len(n), bool)
+    for lo in range(0, len(n), 1_024):
+        s = unit[lo : lo + 1_024] @ unit.T
+        s[np.arange(len(s)), lo + np.arange(len(s))] = -1
+        near[lo : lo + 1_024] = s.max(1) >= least
+    some = np.flatnonzero(near)
+    if not len(some):
+        return label
+    count, total, closed = n.astype(float).copy(), ls.copy(), np.zeros(len(n), bool)
+    for _, i, j in merges_of(n[some], ls[some]):
+        a, b = _root(label, some[i]), _root(label, some[j])
+        size, joint = count[a] + count[b], total[a] + total[b]
+        if closed[a] or closed[b] or pair_cosine(size, joint) < least:
+            closed[a] = closed[b] = True
+            continue
+        label[a] = b
+        count[b], total[b] = size, joint
+    return _numbered(label)

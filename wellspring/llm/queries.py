@@ -66,24 +66,22 @@ def p2_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return describe(vectors, _linked(spark, folder), DIMS)
 
 
-def p2_division(spark: SparkSession, folder: str) -> DataFrame:
-    """All usable profiles divided by Ward agglomeration, each cluster with size and most typical members."""
-    profiles = table(spark, folder, "profiles")
-    return describe(unit_vectors(profiles, "profile_id", "features", DIMS), ward_division(profiles, "profile_id", "features", DIMS), DIMS)
+def _division(spark: SparkSession, folder: str) -> DataFrame:
+    return ward_division(table(spark, folder, "profiles"), "profile_id", "features", DIMS)
 
 
-def p2_compared(spark: SparkSession, folder: str) -> DataFrame:
-    """Per cohort and perturbation: the profiles' main cluster beside the earlier assignments.
+def p2_division(spark: SparkSession, folder: str) -> DataFrame:
+    """All usable profiles divided into clusters of mutually similar ones, each with size, most typical members and similarity."""
+    return describe(unit_vectors(table(spark, folder, "profiles"), "profile_id", "features", DIMS), _division(spark, folder), DIMS)
 
-    ``community_agrees`` and ``primary_agrees`` tell whether the label is the one
-    that most members of the cluster in this cohort carry.
-    """
+
+def _compared(spark: SparkSession, folder: str, membership: DataFrame) -> DataFrame:
     profiles = table(spark, folder, "profiles").select(F.col("profile_id").alias("id"), perturbation_key(F.col("Metadata_Perturbation")).alias("perturbation"), F.upper(F.trim("cohort")).alias("cohort"))
-    counts = _linked(spark, folder).join(profiles, "id").filter("perturbation is not null and cohort is not null").groupBy("cohort", "perturbation", "cluster_key").agg(F.count(F.lit(1)).alias("n_profiles"))
+    counts = membership.join(profiles, "id").filter("perturbation is not null and cohort is not null").groupBy("cohort", "perturbation", "cluster_key").agg(F.count(F.lit(1)).alias("n_profiles"))
     main = counts.groupBy("cohort", "perturbation").agg(F.max_by("cluster_key", F.struct("n_profiles", -F.col("cluster_key"))).alias("cluster_key"), F.sum("n_profiles").alias("n_profiles"), F.count(F.lit(1)).alias("n_clusters"))
     earlier = table(spark, folder, "community_assignments").select(perturbation_key(F.col("Metadata_Perturbation")).alias("perturbation"), F.upper(F.trim("cohort")).alias("cohort"), F.trim("community_id").alias("community_id"), F.trim("viii_primary_cluster").alias("viii_primary_cluster"), "computed_at", "assignment_id")
     latest = earlier.filter("perturbation is not null and cohort is not null").groupBy("cohort", "perturbation").agg(*[F.max_by(c, F.struct(F.coalesce("computed_at", F.lit("1970-01-01").cast("timestamp_ntz")), "assignment_id")).alias(c) for c in ("community_id", "viii_primary_cluster")])
-    both = main.join(latest, ["cohort", "perturbation"], "full")
+    both = cut(main.join(latest, ["cohort", "perturbation"], "full"))
     out = both
     for label, name in (("community_id", "community_agrees"), ("viii_primary_cluster", "primary_agrees")):
         usual = both.filter(f"cluster_key is not null and {label} is not null").groupBy("cohort", "cluster_key", label).agg(F.sum("n_profiles").alias("n")).groupBy("cohort", "cluster_key").agg(F.max_by(label, F.struct("n", label)).alias("usual"))
@@ -91,6 +89,20 @@ def p2_compared(spark: SparkSession, folder: str) -> DataFrame:
     return out
 
 
+def p2_compared(spark: SparkSession, folder: str) -> DataFrame:
+    """Per cohort and perturbation: the profiles' main linked cluster beside the earlier assignments.
+
+    ``community_agrees`` and ``primary_agrees`` tell whether the label is the one
+    that most members of the cluster in this cohort carry.
+    """
+    return _compared(spark, folder, _linked(spark, folder))
+
+
+def p2_division_compared(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for the clusters of the division."""
+    return _compared(spark, folder, _division(spark, folder))
+
+
 CELL_FEATURES = [
     "AreaShape_Area", "AreaShape_MedianRadius", "Intensity_MedianIntensity_Syto", "Intensity_MedianIntensity_ER",
     "Intensity_MedianIntensity_Golgi", "Intensity_MedianIntensity_Mito", "Texture_Contrast_Mito_3_02_256",
@@ -169,7 +181,7 @@ def p9_rates(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_neighbours, p1_recall, p2_found, p2_clusters, p2_division, p2_compared, p4_percentiles, p4_daily, p4_sketches, p7_found, p7_items, p8_mix, p8_shares, p9_found, p9_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_neighbours, p1_recall, p2_found, p2_clusters, p2_division, p2_compared, p2_division_compared, p4_percentiles, p4_daily, p4_sketches, p7_found, p7_items, p8_mix, p8_shares, p9_found, p9_rates)}
 _UNIT = """v AS (SELECT profile_id AS id, features::DOUBLE[] AS f FROM profiles WHERE len(features) = 64 AND len(list_filter(features, lambda v: v IS NULL OR NOT isfinite(v))) = 0 AND len(list_filter(features, lambda v: v <> 0)) > 0),
 u AS (SELECT id, list_transform(f, lambda x: x / sqrt(list_dot_product(f, f))) AS u FROM v)"""
 
