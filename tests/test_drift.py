@@ -1,7 +1,7 @@
 import json
 
-from wellspring.functions.keys import CHANNELS
-from wellspring.operators.drift import canonical, consistent_names, fuse, read_entries, schema_changes
+from wellspring.operators.drift import canonical, consistent_names, count_lines, fuse, read_entries, schema_changes, union_types
+from wellspring.plans.problems import CHANNEL_CODES
 
 SCHEMA = "raw_id long, feed string, file_seq int, record string, field string"
 
@@ -16,7 +16,7 @@ def lines(files, feed="f"):
 
 
 def changes(spark, rows):
-    found = schema_changes(read_entries(spark.createDataFrame(rows, SCHEMA), "record", "img"))
+    found = schema_changes(read_entries(spark.createDataFrame(rows, SCHEMA), "record", "img", CHANNEL_CODES))
     return sorted((r.file_seq, r.field, r.change) for r in found.select("file_seq", "field", "change").collect())
 
 
@@ -58,7 +58,8 @@ def test_nothing_to_report(spark):
 def test_canonical_content():
     assert canonical("04") == canonical(4) == canonical(4.0)
     assert canonical(["a.png"]) == canonical(" a.png ")
-    assert canonical("Hoechst") == canonical(next(k for k, v in CHANNELS.items() if v == "Hoechst"))
+    assert canonical("Hoechst", CHANNEL_CODES) == canonical(6, CHANNEL_CODES) and canonical("Hoechst") == "Hoechst"
+    assert canonical(True) != canonical(1)
     assert canonical(None) is None and canonical([]) is None and canonical(True) == canonical("true")
 
 
@@ -84,3 +85,18 @@ def test_fused_table_keeps_every_field_under_its_consistent_name(spark):
     last = out[3, "c"]
     assert {last.plate.value, last.other["plate"].value} == {"6.0", "1.0"} and last.other["note"].value == "x"
     assert "note" in out[3, "d"].other and out[3, "d"].other["note"].tag is None
+
+
+def test_types_of_nested_paths_and_unreadable_lines(spark):
+    rows = lines([(1, [{"a": {"b": 1, "c": [1, "x"]}}, "{broken", "[1]", None]), (2, [{"a": {"b": "1"}, "d": []}])])
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {(r.field, r.tag): (r.n, r.first_file, r.last_file) for r in union_types(read_entries(df, "record", "img", nested=True)).collect()}
+    assert got == {
+        ("a", "object"): (2, 1, 2), ("a.b", "integer"): (1, 1, 1), ("a.b", "string"): (1, 2, 2), ("a.c", "array"): (1, 1, 1), ("a.c[]", "integer"): (1, 1, 1), ("a.c[]", "string"): (1, 1, 1), ("d", "array"): (1, 2, 2)}
+    assert {(r.file_seq, r.n_lines, r.n_unreadable) for r in count_lines(df, "record").collect()} == {(1, 4, 3), (2, 1, 0)}
+
+
+def test_renames_without_common_items_follow_the_values(spark):
+    """Files without a common image: keys with mostly equal sets of several values are one key renamed."""
+    files = [(1, [{"img": f"a{i}", "lens": f"x{i % 3}", "k": 1} for i in range(6)]), (2, [{"img": f"b{i}", "objective": f"x{i % 3}", "m": 1} for i in range(6)])]
+    assert changes(spark, lines(files)) == [(2, "k", "removed"), (2, "lens", "renamed"), (2, "m", "added")]

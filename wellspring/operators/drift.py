@@ -17,11 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wellspring.functions.keys import CHANNELS
 from wellspring.operators.graph import components
 from wellspring.session import cut
 
-CODES = {name.lower(): float(number) for number, name in CHANNELS.items()}
 TAGS = ("string", "boolean", "integer", "number", "array", "object")
 
 
@@ -38,21 +36,26 @@ def _tag(v) -> str | None:
     return {str: "string", list: "array", dict: "object"}[type(v)]
 
 
-def canonical(v) -> str | None:
-    """One text for equal content whatever its type: ``"04"``, 4 and 4.0; ``["a"]`` and ``"a"``."""
+def canonical(v, codes: dict[str, float] | None = None) -> str | None:
+    """One text for equal content whatever its type: ``"04"``, 4 and 4.0; ``["a"]`` and ``"a"``; ``"true"`` and true.
+
+    ``codes`` gives the numbers that stand for names (in lower case).
+    """
     if isinstance(v, list) and len(v) == 1:
         v = v[0]
     if v is None or v == []:
         return None
     if isinstance(v, (list, dict)):
         return json.dumps(v, sort_keys=True, ensure_ascii=False)
+    if isinstance(v, bool):
+        return str(v).lower()
     if isinstance(v, str):
         text = v.strip()
         low = text.lower()
         if low in ("true", "false"):
-            return str(float(low == "true"))
-        if low in CODES:
-            return str(CODES[low])
+            return low
+        if codes and low in codes:
+            return str(float(codes[low]))
         try:
             return str(float(text)) if text[:1] in "+-.0123456789" and text else text
         except ValueError:
@@ -63,16 +66,38 @@ def canonical(v) -> str | None:
         return str(v)
 
 
+def _paths(key: str, v, nested: bool):
+    """The value under its path; with ``nested`` also what objects (``a.b``) and arrays (``a[]``) hold."""
+    stack = [(key, v)]
+    while stack:
+        path, value = stack.pop()
+        yield path, value
+        if nested and isinstance(value, dict):
+            stack += [(f"{path}.{k}", x) for k, x in value.items()]
+        elif nested and isinstance(value, list):
+            stack += [(f"{path}[]", x) for x in value]
+
+
+def _line(text: str | None) -> dict | None:
+    """The JSON object of a line; None if it is unreadable or no object."""
+    try:
+        line = json.loads(text) if text is not None else None
+    except (ValueError, RecursionError):
+        return None
+    return line if isinstance(line, dict) else None
+
+
 ENTRY = "raw_id long, feed string, file_seq int, item string, field string, tag string, canon string, value string"
 
 
-def read_entries(files: DataFrame, record: str, item_key: str) -> DataFrame:
-    """One row per field of every readable JSON object line.
+def read_entries(files: DataFrame, record: str, item_key: str, codes: dict[str, float] | None = None, nested: bool = False) -> DataFrame:
+    """One row per field of every readable JSON object line; with ``nested`` one per path.
 
     ``item`` is the value of ``item_key``, which identifies what a line
     describes.  Unreadable lines, lines that are no object, null records and
-    rows without feed or ``file_seq`` give no rows; of a key repeated within a
-    line the last value counts.  Integers of any size are read.
+    rows without feed or ``file_seq`` give no rows (:func:`count_lines` counts
+    them); of a key repeated within a line the last value counts.  Integers of
+    any size are read.  ``codes``: see :func:`canonical`.
     """
     rows = files.filter("feed is not null and file_seq is not null").select(F.col("raw_id").cast("long").alias("raw_id"), "feed", F.col("file_seq").cast("int").alias("file_seq"), F.col(record).alias("record")).filter("record is not null")
 
@@ -80,17 +105,15 @@ def read_entries(files: DataFrame, record: str, item_key: str) -> DataFrame:
         for b in batches:
             at, item, field, tag, canon, value = [], [], [], [], [], []
             for i, text in enumerate(b.column("record").to_pylist()):
-                try:
-                    line = json.loads(text)
-                except (ValueError, RecursionError):
-                    continue
-                if not isinstance(line, dict):
+                line = _line(text)
+                if line is None:
                     continue
                 name = line.get(item_key)
                 name = None if name is None else str(name)
-                for k, v in line.items():
-                    at.append(i), item.append(name), field.append(k), tag.append(_tag(v)), canon.append(canonical(v))
-                    value.append(None if v is None else v if isinstance(v, str) else json.dumps(v, ensure_ascii=False))
+                for key in line:
+                    for k, v in _paths(key, line[key], nested):
+                        at.append(i), item.append(name), field.append(k), tag.append(_tag(v)), canon.append(canonical(v, codes))
+                        value.append(None if v is None else v if isinstance(v, str) else json.dumps(v, ensure_ascii=False))
             rows = b.take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [*(rows.column(c) for c in ("raw_id", "feed", "file_seq")), *(pa.array(x, pa.string()) for x in (item, field, tag, canon, value))],
@@ -100,6 +123,23 @@ def read_entries(files: DataFrame, record: str, item_key: str) -> DataFrame:
     return rows.mapInArrow(parse, ENTRY)
 
 
+def count_lines(files: DataFrame, record: str) -> DataFrame:
+    """``feed, file_seq, n_lines, n_unreadable``: lines per file and those that give no rows (null, unreadable, no object)."""
+
+    def judge(batches):
+        for b in batches:
+            bad = [_line(text) is None for text in b.column("record").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("feed"), b.column("file_seq"), pa.array(bad, pa.bool_())], names=["feed", "file_seq", "bad"])
+
+    rows = files.select("feed", F.col("file_seq").cast("int").alias("file_seq"), F.col(record).alias("record"))
+    return rows.mapInArrow(judge, "feed string, file_seq int, bad boolean").groupBy("feed", "file_seq").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if("bad").alias("n_unreadable"))
+
+
+def union_types(entries: DataFrame) -> DataFrame:
+    """``feed, field, tag, n, first_file, last_file``: every alternative type of every path, with where it appears (null: no value)."""
+    return entries.groupBy("feed", "field", "tag").agg(F.count(F.lit(1)).alias("n"), F.min("file_seq").alias("first_file"), F.max("file_seq").alias("last_file"))
+
+
 def _likeness(a: str, b: str) -> Column:
     clean = lambda c: F.lower(F.regexp_replace(c, "[^A-Za-z0-9]", ""))
     return F.levenshtein(clean(a), clean(b))
@@ -119,9 +159,12 @@ def schema_changes(entries: DataFrame) -> DataFrame:
     then the first by name) differs from the last known tag, which a rename
     carries on and a removal ends.
 
-    Lines are reduced to fields per file before any window; windows run over
-    files of a feed and field only, never over lines.
+    Lines are read once, into hashes of items and contents, and reduced to fields
+    per file before any window; windows run over files of a feed and field only,
+    never over lines.
     """
+    hashed = lambda c: F.when(F.col(c).isNotNull(), F.xxhash64(c)).alias(c)
+    entries = cut(entries.select("feed", "file_seq", "field", "tag", hashed("item"), hashed("canon")))
     per_tag = entries.groupBy("feed", "file_seq", "field", "tag").agg(F.count(F.lit(1)).alias("n"))
     present = cut(
         per_tag.groupBy("feed", "file_seq", "field").agg(
@@ -149,12 +192,14 @@ def schema_changes(entries: DataFrame) -> DataFrame:
     a, b = one(left, "old_seq", "old", "x"), one(right, "file_seq", "new", "y")
     shared = pairs.join(a.filter("item is not null"), ["feed", "old_seq", "old"]).join(b.filter("item is not null"), ["feed", "file_seq", "new", "item"])
     shared = shared.groupBy("feed", "ix", "old", "new").agg(F.count(F.lit(1)).alias("both"), F.sum((F.col("x") == F.col("y")).cast("int")).alias("equal"))
-    # without shared items: how far the two sets of values agree (few files; distinct values only)
-    va = a.groupBy("feed", "old_seq", "old").agg(F.collect_set(F.xxhash64("x")).alias("xs"))
-    vb = b.groupBy("feed", "file_seq", "new").agg(F.collect_set(F.xxhash64("y")).alias("ys"))
-    lonely = pairs.join(shared, ["feed", "ix", "old", "new"], "left_anti").join(va, ["feed", "old_seq", "old"]).join(vb, ["feed", "file_seq", "new"])
-    overlap = F.size(F.array_intersect("xs", "ys")) / F.size(F.array_union("xs", "ys"))
-    lonely = lonely.withColumn("overlap", overlap).filter("overlap >= 0.5 and size(xs) > 1").select("feed", "ix", "old", "new", F.lit(0).alias("equal"))
+    # without shared items: how far the two sets of values agree
+    lonely = cut(pairs.select("feed", "ix", "old", "new", "old_seq", "file_seq").join(shared, ["feed", "ix", "old", "new"], "left_anti"))
+    key = ["feed", "ix", "old", "new"]
+    va = lonely.join(a.select("feed", "old_seq", "old", "x").distinct(), ["feed", "old_seq", "old"]).select(*key, F.col("x").alias("v"), F.lit(1).alias("left"), F.lit(0).alias("right"))
+    vb = lonely.join(b.select("feed", "file_seq", "new", "y").distinct(), ["feed", "file_seq", "new"]).select(*key, F.col("y").alias("v"), F.lit(0).alias("left"), F.lit(1).alias("right"))
+    met = va.unionByName(vb).groupBy(*key, "v").agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    met = met.groupBy(*key).agg(F.sum("left").alias("n_left"), F.sum(F.col("left") * F.col("right")).alias("n_both"), F.count(F.lit(1)).alias("n_any"))
+    lonely = met.filter((F.col("n_both") / F.col("n_any") >= 0.5) & (F.col("n_left") > 1)).select(*key, F.lit(0).alias("equal"))
     fits = shared.filter("both = equal").select("feed", "ix", "old", "new", F.col("equal").cast("int").alias("equal")).unionByName(lonely)
     rank = [F.col("equal").desc(), _likeness("old", "new"), F.col("old"), F.col("new")]
     open_fits, chosen = cut(fits), []
@@ -164,7 +209,7 @@ def schema_changes(entries: DataFrame) -> DataFrame:
         if best.isEmpty():
             break
         chosen.append(best)
-        open_fits = cut(open_fits.join(best.select("feed", "ix", "old"), ["feed", "ix", "old"], "left_anti").join(best.select("feed", "ix", "new"), ["feed", "ix", "new"], "left_anti"))
+        open_fits = cut(open_fits.join(best.select("feed", "ix", "old"), ["feed", "ix", "old"], "left_anti").join(best.select("feed", "ix", "new"), ["feed", "ix", "new"], "left_anti"), looping=True)
     renames = reduce(DataFrame.unionByName, chosen) if chosen else fits.select("feed", "ix", "old", "new").limit(0)
     renames = cut(pairs.join(renames, ["feed", "ix", "old", "new"]))
 
@@ -181,7 +226,7 @@ def schema_changes(entries: DataFrame) -> DataFrame:
             break
         stepped = carried.join(up, ["feed", "from_field", "from_segment"], "left")
         empty = F.col("carry").isNull() & F.col("up_field").isNotNull()
-        carried = cut(stepped.select("feed", "field", "segment", F.when(empty, F.col("up_field")).otherwise(F.col("from_field")).alias("from_field"), F.when(empty, F.col("up_segment")).otherwise(F.col("from_segment")).alias("from_segment"), F.coalesce("carry", "up").alias("carry")))
+        carried = cut(stepped.select("feed", "field", "segment", F.when(empty, F.col("up_field")).otherwise(F.col("from_field")).alias("from_field"), F.when(empty, F.col("up_segment")).otherwise(F.col("from_segment")).alias("from_segment"), F.coalesce("carry", "up").alias("carry")), looping=True)
     known = known.join(carried.select("feed", "field", "segment", "carry"), ["feed", "field", "segment"], "left")
     last = F.coalesce("prior", "carry")
     retyped = known.filter(F.col("tag").isNotNull() & (last != F.col("tag"))).select("feed", "file_seq", "ix", "field", last.alias("old_tag"), F.col("tag").alias("new_tag"))
@@ -201,12 +246,16 @@ def consistent_names(entries: DataFrame, changes: DataFrame, names: dict[str, li
 
     Keys in ``names`` keep their name there.  Other keys take the name of the
     listed keys that their renames lead to, if it is only one; else, together
-    with the unlisted keys they are linked with, the one on most lines.
+    with the unlisted keys they are linked with, the one on most lines.  Keys that
+    differ in case and signs only are linked like renames.
     """
     spark = entries.sparkSession
     listed = spark.createDataFrame([(old, new) for new, olds in names.items() for old in olds], "field string, listed string")
     fields = cut(entries.groupBy("field").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(listed), "field", "left"))
     renames = changes.filter("change = 'renamed'").select(F.lit("all").alias("grp"), F.col("field").alias("label_a"), F.col("new_field").alias("label_b"), F.lit(1.0).alias("similarity")).distinct()
+    plain = fields.select("field", F.lower(F.regexp_replace("field", "[^A-Za-z0-9]", "")).alias("plain"))
+    alike = plain.join(plain.groupBy("plain").agg(F.min("field").alias("first")), "plain").filter("field <> first")
+    renames = renames.unionByName(alike.select(F.lit("all").alias("grp"), F.col("first").alias("label_a"), F.col("field").alias("label_b"), F.lit(1.0).alias("similarity")))
     nodes = fields.select(F.lit("all").alias("grp"), F.col("field").alias("label"))
     linked = fields.join(components(nodes, renames).select(F.col("label").alias("field"), "component"), "field")
     of_set = linked.groupBy("component").agg(F.count_distinct("listed").alias("k"), F.max("listed").alias("only"), F.max_by(F.when(F.col("listed").isNull(), F.col("field")), F.when(F.col("listed").isNull(), F.struct("n", "field"))).alias("most"))

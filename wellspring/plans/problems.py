@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellspring.functions.keys import CHANNELS, perturbation_key, plate_number, well_name
-from wellspring.operators.drift import consistent_names, fuse, read_entries, schema_changes
+from wellspring.operators.drift import consistent_names, count_lines, fuse, read_entries, schema_changes, union_types
 from wellspring.operators.orphans import count_by_month, find_orphans
 from wellspring.operators.spikes import flag_readings
 from wellspring.plans.tables import table
@@ -16,20 +16,13 @@ INF = float("inf")
 RANGES = {"PowerLogLogSlope": (-INF, 0.0), "FocusScore": (0.0, INF), "MedianIntensity": (0.0, 1.0)}
 QC_BOUNDS = {f"ImageQuality_{m}_{c}": r for m, r in RANGES.items() for c in ("Hoechst", "Syto", "Golgi", "ER", "Mito", "Brightfield")}
 
-#: the consistent name of each manifest field and the keys it goes by
-MANIFEST_NAMES = {
-    "Image_FileName": ["Image_FileName"],
-    "Image_PathName": ["Image_PathName"],
-    "Metadata_Plate": ["Metadata_Plate", "Metadata_plate", "Plate", "plate_no"],
-    "Metadata_Well": ["Metadata_Well"],
-    "Metadata_Field": ["Metadata_Field", "Metadata_Site", "FieldIndex", "field"],
-    "Metadata_Channel": ["Metadata_Channel"],
-    "Metadata_Channel_name": ["Metadata_Channel_name", "Metadata_Channel_Name", "Metadata_ChannelName", "Channel", "channel_name"],
-    "Image_FileName_RNA_mask": ["Image_FileName_RNA_mask", "Image_FileName_RNA_Mask", "Image_FileName_Mask_RNA", "FileName_RNA_mask", "rna_mask_file"],
-    "Image_PathName_RNA_mask": ["Image_PathName_RNA_mask", "Image_PathName_RNA_Mask", "rna_mask_dir"],
-    "FileName_Illum": ["FileName_Illum", "Illum_FileName"],
-    "PathName_Illum": ["PathName_Illum", "Illum_PathName"],
-}
+#: fields of the consistent table; the keys they go by follow from the renames found
+MANIFEST_FIELDS = [
+    "Image_FileName", "Image_PathName", "Metadata_Plate", "Metadata_Well", "Metadata_Field", "Metadata_Channel", "Metadata_Channel_name",
+    "Image_FileName_RNA_mask", "Image_PathName_RNA_mask", "FileName_Illum", "PathName_Illum",
+]
+#: channels are given by name or number
+CHANNEL_CODES = {name.lower(): float(number) for number, name in CHANNELS.items()}
 
 
 def p3_flags(spark: SparkSession, folder: str) -> DataFrame:
@@ -44,7 +37,7 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _entries(spark: SparkSession, folder: str) -> DataFrame:
-    return read_entries(table(spark, folder, "manifest_files"), "record", "Image_FileName")
+    return read_entries(table(spark, folder, "manifest_files"), "record", "Image_FileName", CHANNEL_CODES)
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,10 +48,21 @@ def p5_changes(spark: SparkSession, folder: str) -> DataFrame:
     return schema_changes(_entries(spark, folder))
 
 
+def p5_types(spark: SparkSession, folder: str) -> DataFrame:
+    """Every alternative type of every path of every feed, inside objects and arrays too."""
+    return union_types(read_entries(table(spark, folder, "manifest_files"), "record", "Image_FileName", CHANNEL_CODES, nested=True))
+
+
+def p5_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines and unreadable lines per feed and file."""
+    return count_lines(table(spark, folder, "manifest_files"), "record")
+
+
 def p5_table(spark: SparkSession, folder: str) -> DataFrame:
     """All manifests as one table, flattened to canonical values and the tags of the two main fields; ``other`` has all further fields by name."""
     entries = _entries(spark, folder)
-    fused = fuse(entries, MANIFEST_NAMES, consistent_names(entries, schema_changes(entries), MANIFEST_NAMES))
+    names = {name: [name] for name in MANIFEST_FIELDS}
+    fused = fuse(entries, names, consistent_names(entries, schema_changes(entries), names))
     number = lambda c: F.col(f"{c}.value").try_cast("double").cast("int")
     names = F.create_map(*[F.lit(x) for k, v in CHANNELS.items() for x in (k, v)])
     mask = F.col("Image_FileName_RNA_mask")
@@ -114,7 +118,7 @@ def p6_by_month(spark: SparkSession, folder: str) -> DataFrame:
     return out
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_flags, p5_found, p5_changes, p5_table, p6_found, p6_by_month)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_flags, p5_found, p5_changes, p5_types, p5_lines, p5_table, p6_found, p6_by_month)}
 
 _READINGS = ", ".join(QC_BOUNDS)
 _P3 = f"""
@@ -142,8 +146,16 @@ alls AS (SELECT source_table, row_id, t, EXISTS (SELECT 1 FROM wells x WHERE x.p
 UNION ALL SELECT 'platemap', platemap_id, m.registered_at, EXISTS (SELECT 1 FROM perts x WHERE x.k = upper(trim(m.Metadata_Perturbation)) AND x.registered_at <= m.registered_at AND (x.retired_at IS NULL OR m.registered_at < x.retired_at))
 FROM platemap m WHERE Metadata_Perturbation IS NOT NULL AND m.registered_at IS NOT NULL)"""
 
+_TAG = "CASE json_type(j, '$.\"' || k || '\"') WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'DOUBLE' THEN 'number' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' WHEN 'NULL' THEN NULL ELSE 'integer' END"
+_KEYS = "lines AS (SELECT feed, file_seq, record::JSON AS j FROM manifest_files WHERE feed IS NOT NULL AND file_seq IS NOT NULL AND json_valid(record) AND json_type(record) = 'OBJECT'), keys AS (SELECT feed, file_seq, j, unnest(list_distinct(json_keys(j))) AS k FROM lines)"
+_TYPES = f"""{_KEYS}, top AS (SELECT feed, file_seq, k AS field, {_TAG} AS tag, json_extract(j, '$."' || k || '"') AS v FROM keys),
+parts AS (SELECT feed, file_seq, field, tag FROM top UNION ALL SELECT feed, file_seq, field || '[]', CASE json_type(e) WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'DOUBLE' THEN 'number' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' WHEN 'NULL' THEN NULL ELSE 'integer' END
+FROM (SELECT feed, file_seq, field, unnest(v::JSON[]) AS e FROM top WHERE tag = 'array'))"""
+
 ORACLES = {
     "p3_found": _P3,
+    "p5_types": f"WITH {_TYPES} SELECT feed, field, tag, count(*) AS n, min(file_seq) AS first_file, max(file_seq) AS last_file FROM parts GROUP BY 1, 2, 3",
+    "p5_lines": "SELECT feed, file_seq, count(*) AS n_lines, count(*) FILTER (record IS NULL OR NOT json_valid(record) OR json_type(record) <> 'OBJECT') AS n_unreadable FROM manifest_files GROUP BY 1, 2",
     "p6_found": f"WITH {_P6_CTES} SELECT source_table, row_id FROM alls WHERE NOT ok",
     "p6_by_month": f"""WITH {_P6_CTES} SELECT source_table, strftime(t, '%Y-%m') AS month, count(*) AS n_rows, count(*) FILTER (NOT ok) AS n_orphans,
 round(count(*) FILTER (NOT ok) / count(*), 6) AS orphan_rate FROM alls GROUP BY ALL""",
