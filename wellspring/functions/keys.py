@@ -74,3 +74,31 @@ def safe_name(c: Column) -> Column:
 
 def cluster_label(c: Column) -> Column:
     return F.format_string("Cluster_%02d", c.cast("int"))
+
+
+def plain_plate(c: Column) -> Column:
+    """Plate key without blanks, case and leading zeros; a leading ``p`` is kept."""
+    low = F.lower(F.trim(c))
+    bare = lambda x: F.coalesce(F.nullif(F.ltrim(x, F.lit("0")), F.lit("")), F.lit("0"))
+    return F.when(low.startswith("p"), F.concat(F.lit("p"), bare(F.substring(low, F.lit(2), F.length(low))))).otherwise(bare(low))
+
+
+def dashed_name(c: Column) -> dict[str, Column]:
+    """row, column and site of names like ``001003-1-001002004.tiff``; null where a part is no number."""
+    part = lambda i: F.get(F.split(F.replace(c, F.lit(".tiff")), "-"), F.lit(i))
+    number = lambda x: x.try_cast("int")
+    return {"row": number(F.substring(part(0), 1, 3)), "column": number(F.substring(part(0), 4, 3)), "site": number(part(1))}
+
+
+def compartment_rank(c: Column) -> Column:
+    """0 cells, 1 cytoplasm, 2 nuclei, 3 other, by a part of the name in any case."""
+    low = F.lower(c)
+    return F.when(low.contains("cells"), 0).when(low.contains("cytoplasm"), 1).when(low.contains("nuclei"), 2).otherwise(3)
+
+
+def label_is(c: Column, exact: str | None = None, prefix: str | None = None, without: str | None = None, names: list[str] | None = None) -> Column:
+    """Whether a label equals ``exact``, starts with ``prefix``, does not start with ``without`` and is one of ``names`` (None: any)."""
+    out = c.isNotNull()
+    for wanted, test in ((exact, lambda v: c == v), (prefix, c.startswith), (without, lambda v: ~c.startswith(v)), (names, c.isin)):
+        out = out if wanted is None else out & test(wanted)
+    return out

@@ -21,7 +21,7 @@ class Layout:
     positive_share: float = 0.05
     replicates: int = 2
     positives: int = 2
-    edge_first: bool = True
+    controls: str = "edge"  # edge first, random, or uniform steps over the plate
     seed: int = 1
 
     @property
@@ -40,17 +40,21 @@ class Layout:
     def per_plate(self) -> int:
         return max(1, (self.wells - self.negative - self.positive) // self.replicates)
 
-    def warnings(self) -> list[str]:
-        return [w for w, bad in (("fewer than 6 negative controls", self.negative < 6), ("fewer than 4 positive controls", self.positive < 4)) if bad]
+
+# Fewest controls of a plate.
+LEAST_CONTROLS = {"neg": 6, "pos": 4}
 
 
 def wells_of(spark: SparkSession, layout: Layout, plates: int) -> DataFrame:
-    """Every well of every plate with its place in a fixed random order; edge wells first for controls if wanted."""
+    """Every well of every plate with its place: first those for controls (``layout.controls``), then the others in a fixed random order."""
     grid = spark.range(plates * layout.wells).select((F.floor(F.col("id") / layout.wells) + 1).cast("int").alias("plate"), (F.col("id") % layout.wells).cast("int").alias("ix"))
     grid = grid.withColumn("row", (F.floor(F.col("ix") / layout.columns) + 1).cast("int")).withColumn("column", (F.col("ix") % layout.columns + 1).cast("int"))
     edge = (F.col("row").isin(1, layout.rows) | F.col("column").isin(1, layout.columns)).cast("int")
     order = F.md5(F.concat_ws(":", F.lit(layout.seed), F.col("plate"), F.col("ix")))
-    first = [edge.desc()] if layout.edge_first else []
+    held = layout.negative + layout.positive
+    steps = [min(layout.wells - 1, math.floor(i * layout.wells / held + 0.5)) for i in range(held)] if held else []
+    uniform = F.array_position(F.array(*[F.lit(i) for i in steps]), F.col("ix")) if steps else F.lit(0)
+    first = {"edge": [edge.desc()], "uniform": [F.when(uniform > 0, uniform).otherwise(F.lit(len(steps) + 1))], "random": []}[layout.controls]
     place = F.row_number().over(Window.partitionBy("plate").orderBy(*first, order, "ix")) - 1
     return grid.withColumn("place", place).withColumn("well", well_label(F.col("row"), F.col("column")))
 
@@ -88,3 +92,9 @@ def plate_layout(compounds: DataFrame, compound: str, layout: Layout = Layout())
 def as_platemap(layout: DataFrame) -> DataFrame:
     """The layout in the columns that the platemap reader expects; empty wells left out."""
     return layout.filter("type <> 'empty'").select(F.concat(F.lit("P"), F.lpad(F.col("plate").cast("string"), 2, "0")).alias("Metadata_Plate"), F.col("well").alias("Metadata_Well"), F.col("label").alias("Metadata_Perturbation"), F.col("type").alias("well_type"))
+
+
+def control_warnings(layout: DataFrame) -> DataFrame:
+    """``plate, n_neg, n_pos, few_neg, few_pos``: controls per plate and whether they are fewer than they should be."""
+    n = {kind: F.count_if(F.col("type") == kind) for kind in LEAST_CONTROLS}
+    return layout.groupBy("plate").agg(*[n[k].alias(f"n_{k}") for k in n], *[(n[k] < least).alias(f"few_{k}") for k, least in LEAST_CONTROLS.items()])

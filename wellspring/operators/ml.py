@@ -101,26 +101,51 @@ def label_codes(df: DataFrame, label: str) -> DataFrame:
     return number_rows(df.select(F.col(label).cast("string").alias("label")).filter("label is not null").distinct(), ["label"], "code").select("label", "code")
 
 
-def forest_predictions(df: DataFrame, row_id: str, label: str, vector: str, folds: int = 5, trees: int = 50, seed: int = 42) -> DataFrame:
-    """``id, label, predicted``: every row predicted by a random forest that did not see its fold.
+#: forest that a prediction takes by default; deeper and larger ones are parameters
+TREES, DEPTH = 100, 20
 
-    Classes are weighted by n / (k n_c); folds follow a hash of the id.  A forest
-    per left-out row, as on a few hundred rows, is ``folds`` = number of rows.
-    """
+
+def _weighted(df: DataFrame, label: str, vector: str, *more) -> tuple[DataFrame, DataFrame]:
+    """Rows with ``label, features, code, weight`` (n / (k n_c)) and the codes of the labels."""
     codes = label_codes(df, label).withColumn("code", F.col("code").cast("double"))
-    rows = df.select(F.col(row_id).cast("long").alias("id"), F.col(label).cast("string").alias("label"), array_to_vector(F.col(vector).cast("array<double>")).alias("features")).join(F.broadcast(codes), "label")
+    vectors = array_to_vector(F.col(vector).cast("array<double>")).alias("features")
+    rows = df.select(*more, F.col(label).cast("string").alias("label"), vectors).join(F.broadcast(codes), "label")
     classes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n_c"))
     shape = classes.agg(F.sum("n_c").alias("n"), F.count(F.lit(1)).alias("k"))
     weights = classes.join(shape).select("label", (F.col("n") / (F.col("k") * F.col("n_c"))).alias("weight"))  # shape has one row
-    rows = cut(rows.join(F.broadcast(weights), "label").withColumn("fold", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(folds))))
+    return rows.join(F.broadcast(weights), "label"), codes
+
+
+def _forest(trees: int, depth: int, seed: int) -> RandomForestClassifier:
+    return RandomForestClassifier(numTrees=trees, maxDepth=depth, minInstancesPerNode=1, featureSubsetStrategy="sqrt", weightCol="weight", labelCol="code", seed=seed)
+
+
+def forest_predictions(df: DataFrame, row_id: str, label: str, vector: str, folds: int = 5, trees: int = TREES, depth: int = DEPTH, seed: int = 42) -> DataFrame:
+    """``id, label, predicted``: every row predicted by a random forest that did not see its fold.
+
+    Classes are weighted by n / (k n_c); folds follow a hash of the id.  A forest
+    per left-out row, as on a few hundred rows, is ``folds`` = number of rows.  A
+    label with rows in one fold only is never predicted there.  Rows whose
+    vectors or labels are null take no part.
+    """
+    rows, codes = _weighted(df.filter(F.col(vector).isNotNull()), label, vector, F.col(row_id).cast("long").alias("id"))
+    rows = cut(rows.withColumn("fold", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(folds))))
     out = None
     for fold in range(folds):
-        model = RandomForestClassifier(numTrees=trees, maxDepth=10, featureSubsetStrategy="sqrt", weightCol="weight", labelCol="code", seed=seed).fit(rows.filter(F.col("fold") != fold))
+        model = _forest(trees, depth, seed).fit(rows.filter(F.col("fold") != fold))
         part = model.transform(rows.filter(F.col("fold") == fold)).select("id", "label", "prediction")
         out = part if out is None else out.unionByName(part)
     return out.join(F.broadcast(codes.select(F.col("label").alias("predicted"), F.col("code").alias("prediction"))), "prediction").select("id", "label", "predicted")
 
 
+def feature_importances(df: DataFrame, label: str, vector: str, top: int, trees: int = TREES, depth: int = DEPTH, seed: int = 42) -> DataFrame:
+    """``rank, feature, importance``: the ``top`` features of one forest over all rows; ties go to the smaller place."""
+    rows, _ = _weighted(df.filter(F.col(vector).isNotNull()), label, vector)
+    found = enumerate(_forest(trees, depth, seed).fit(cut(rows)).featureImportances.toArray().tolist())
+    best = sorted(found, key=lambda f: (-f[1], f[0]))[:top]
+    return df.sparkSession.createDataFrame([(i + 1, f, float(w)) for i, (f, w) in enumerate(best)], "rank int, feature int, importance double")
+
+
 def classification_report(predictions: DataFrame) -> DataFrame:
     """``label, precision, recall, f1, support`` and the share of rows predicted right (``accuracy``, in every row)."""
     cells = cut(predictions.groupBy("label", "predicted").agg(F.count(F.lit(1)).alias("n")))

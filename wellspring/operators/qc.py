@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from wellspring.functions.keys import plain_plate
 from wellspring.operators.stats import median_and_mad, medians, quantiles
 from wellspring.session import cut
 
@@ -19,8 +21,16 @@ LIMITS = [
     ("FocusScore", "Mito", 0.005, None),
     ("FocusScore", "Brightfield", 0.001, None),
 ]
-# Limits of the red-well count.
-RED_SLOPE = (-2.7, -1.3)
+# Limits of the red-well count by measurement.
+RED = [("PowerLogLogSlope", None, -2.7, -1.3), ("PercentMaximal", None, None, 1.0), ("PercentMinimal", None, None, 5.0)]
+# Colour bands of a measurement, as upper ends on its scale from low to high.
+BANDS = {
+    "PowerLogLogSlope": (-3.0, -1.0, [(0.15, "red"), (0.35, "yellow"), (0.65, "green"), (0.85, "yellow"), (1.0, "red")]),
+    "PercentMaximal": (0.0, None, [(0.05, "green"), (0.25, "yellow"), (1.0, "red")]),
+    "PercentMinimal": (0.0, None, [(0.2, "green"), (0.5, "yellow"), (1.0, "red")]),
+}
+# Limits of objects by column.
+OBJECT_LIMITS = {"Intensity_MinIntensity_Hoechst": (0.25, None), "Nuclei_AreaShape_Area": (None, 1500.0), "AreaShape_Area": (2000.0, None)}
 CHANNELS = ("Hoechst", "Syto", "Golgi", "ER", "Mito", "Brightfield")
 
 
@@ -165,3 +175,68 @@ def badge(rate: Column) -> Column:
     return F.when(rate >= 80, "pass").when(rate >= 50, "warn").otherwise("fail")
 
 
+def red_wells(wells: DataFrame, keys: list[str], limits=RED) -> DataFrame:
+    """``*keys, metric, red``: whether any channel's value leaves the limits of its measurement (null values do not)."""
+    judged = absolute_pass(wells.filter(F.col("metric").isin([m for m, *_ in limits])), limits)
+    return judged.groupBy(*keys, "metric").agg(F.bool_or(F.coalesce(~F.col("passes"), F.lit(False))).alias("red"))
+
+
+def band(value: Column, low: float, high: float, stops: list[tuple[float, str]]) -> Column:
+    """Colour of a value on a stepped scale from ``low`` to ``high``; values beyond it take the outer colours, null none."""
+    at = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.round((value - low) / (high - low), 12)))
+    out = F.lit(stops[-1][1])
+    for end, colour in reversed(stops[:-1]):
+        out = F.when(at <= end, colour).otherwise(out)
+    return F.when(value.isNotNull(), out)
+
+
+def worst(colour: Column) -> Column:
+    """The worst colour of a group: red before yellow before green; null without any."""
+    rank = F.max(F.when(colour == "red", 3).when(colour == "yellow", 2).when(colour == "green", 1))
+    return F.element_at(F.array(F.lit("green"), F.lit("yellow"), F.lit("red")), rank)
+
+
+def within(limits: dict[str, tuple[float | None, float | None]], columns: list[str]) -> Column:
+    """Whether the columns that are present lie within their limits (both ends allowed; null and NaN do not)."""
+    ok = F.lit(True)
+    for name, (lo, hi) in limits.items():
+        if name in columns:
+            v = F.nanvl(F.col(name), F.lit(None).cast("double"))
+            ok = ok & v.isNotNull() & (F.lit(True) if lo is None else v >= lo) & (F.lit(True) if hi is None else v <= hi)
+    return F.coalesce(ok, F.lit(False))
+
+
+def first_children(parents: DataFrame, children: DataFrame, keys: list[str], child: str) -> DataFrame:
+    """Parents with ``child`` (the smallest one with equal keys, null if none) and ``n_children``; null keys have none."""
+    own = children.groupBy(*keys).agg(F.min(child).alias(child), F.count(child).alias("n_children"))
+    return parents.join(own, keys, "left").fillna(0, ["n_children"])
+
+
+def sample_per_group(df: DataFrame, keys: list[str], order: Column, n: int, salts: int = 64) -> DataFrame:
+    """At most ``n`` rows of each group, the first by ``order`` (a hash makes it random); groups are thinned by salts first."""
+    marked = df.withColumn("_o", order).withColumn("_s", F.pmod(F.xxhash64("_o"), F.lit(salts)))
+    for by in ([*keys, "_s"], keys):
+        marked = marked.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy("_o"))).filter(F.col("_r") <= n)
+    return marked.drop("_o", "_s", "_r")
+
+
+def match_keys(left: DataFrame, key: str, right: DataFrame, right_key: str) -> DataFrame:
+    """``key, found, how``: for every distinct key of ``left`` the key of ``right`` it stands for.
+
+    In turn: the key itself, without its leading P, with one, each first exactly
+    and then without regard to case, blanks and leading zeros.  Where none fits
+    and ``right`` has only one key, that one (``how`` = sole).  Else null.
+    """
+    names = left.select(F.col(key).alias("key")).filter("key is not null").distinct()
+    known = right.select(F.col(right_key).alias("found")).filter("found is not null").distinct()
+    bare = F.regexp_replace("key", "^P*p*", "")
+    forms = F.array("key", bare, F.concat(F.lit("P"), bare))
+    asked = names.select("key", F.posexplode(forms).alias("turn", "form"))
+    exact = asked.join(known.withColumn("form", F.col("found")), "form").select("key", (2 * F.col("turn")).alias("o"), "found")
+    loose = known.groupBy(plain_plate(F.col("found")).alias("plain")).agg(F.min("found").alias("found"))
+    alike = asked.withColumn("plain", plain_plate(F.col("form"))).join(loose, "plain").select("key", (2 * F.col("turn") + 1).alias("o"), "found")
+    best = exact.unionByName(alike).groupBy("key").agg(F.min_by("found", F.struct("o", "found")).alias("found"))
+    sole = known.agg(F.count(F.lit(1)).alias("n"), F.min("found").alias("only"))  # one row
+    both = names.join(best, "key", "left").join(F.broadcast(sole))
+    alone = F.col("found").isNull() & (F.col("n") == 1)
+    return both.select("key", F.when(alone, F.col("only")).otherwise(F.col("found")).alias("found"), F.when(alone, "sole").when(F.col("found").isNotNull(), "key").alias("how"))

@@ -188,6 +188,16 @@ _CHANNEL = "CASE channel WHEN 1 THEN 'Mito' WHEN 2 THEN 'Golgi' WHEN 3 THEN 'Bri
 _OUTLIERS = f"""{_LONG}, med AS (SELECT feature, median(value) AS m FROM long GROUP BY 1), mad AS (SELECT feature, m, median(abs(value - m)) AS d FROM long JOIN med USING (feature) GROUP BY 1, 2),
 scored AS (SELECT l.*, (value - m) / (d + 1e-8) AS score FROM long l JOIN mad USING (feature))"""
 
+_DESIGN = """WITH names AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS k FROM (SELECT DISTINCT upper(trim(Metadata_Perturbation)) AS label FROM perturbations WHERE NOT coalesce(Metadata_Reference, false) AND upper(trim(Metadata_Perturbation)) <> 'DMSO')),
+plates AS (SELECT unnest(range(1, (SELECT (count(*) + 39) // 40 + 1 FROM names))) AS plate),
+grid AS (SELECT plate::INT AS plate, ix, (ix // 12 + 1)::INT AS "row", (ix % 12 + 1)::INT AS "column" FROM plates, (SELECT unnest(range(96)) AS ix)),
+wells AS (SELECT *, chr(64 + "row") || lpad("column"::VARCHAR, 2, '0') AS well, row_number() OVER (PARTITION BY plate ORDER BY CASE WHEN "row" IN (1, 8) OR "column" IN (1, 12) THEN 0 ELSE 1 END, md5('1:' || plate || ':' || ix), ix) - 1 AS place FROM grid),
+free AS (SELECT *, row_number() OVER (PARTITION BY plate ORDER BY md5('1:slot:' || plate || ':' || ix), ix) - 1 AS slot FROM wells WHERE place >= 15),
+placed AS (SELECT (k // 40 + 1)::INT AS plate, r AS replicate, (k % 40) * 2 + r - 1 AS slot, label FROM names, (SELECT unnest([1, 2]) AS r))
+SELECT plate, well, "row", "column", CASE WHEN label IS NULL THEN 'empty' ELSE 'cmpd' END AS type, label, replicate FROM free LEFT JOIN placed USING (plate, slot)
+UNION ALL SELECT plate, well, "row", "column", 'neg', 'DMSO', place + 1 FROM wells WHERE place < 10
+UNION ALL SELECT plate, well, "row", "column", CASE WHEN place < 14 THEN 'pos' ELSE 'empty' END, CASE WHEN place < 14 THEN 'PC_' || ((place - 10) // 2 + 1) END, CASE WHEN place < 14 THEN (place - 10) % 2 + 1 END FROM wells WHERE place BETWEEN 10 AND 14"""
+
 ORACLES = {
     "profile_median_by_strata": f"WITH {_PROFILES} SELECT plate, perturbation, feature, round(value, 6) AS value FROM prof",
     "mad_robustize_controls": f"""WITH {_PROFILES}, med AS (SELECT feature, median(value) AS m FROM prof WHERE perturbation = '{CONTROL}' GROUP BY 1),
@@ -227,13 +237,6 @@ s AS (SELECT {PLATE} AS plate, {WELL} AS well FROM image_qc) SELECT perturbation
     "diagonal_union": "SELECT c_custkey AS key, c_name AS name, c_acctbal AS balance, c_mktsegment AS segment FROM customer UNION ALL BY NAME SELECT s_suppkey AS key, s_name AS name, s_acctbal AS balance FROM supplier",
     "replicate_numbers": f"""WITH p AS (SELECT platemap_id, {PLATE} AS plate, {WELL} AS well, upper(trim(Metadata_Perturbation)) AS perturbation FROM platemap)
 SELECT *, row_number() OVER (PARTITION BY plate, perturbation ORDER BY well, platemap_id) AS replicate FROM p WHERE plate IS NOT NULL AND well IS NOT NULL AND perturbation IS NOT NULL""",
-    "plate_design": """WITH names AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS k FROM (SELECT DISTINCT upper(trim(Metadata_Perturbation)) AS label FROM perturbations WHERE NOT coalesce(Metadata_Reference, false) AND upper(trim(Metadata_Perturbation)) <> 'DMSO')),
-plates AS (SELECT unnest(range(1, (SELECT (count(*) + 39) // 40 + 1 FROM names))) AS plate),
-grid AS (SELECT plate::INT AS plate, ix, (ix // 12 + 1)::INT AS "row", (ix % 12 + 1)::INT AS "column" FROM plates, (SELECT unnest(range(96)) AS ix)),
-wells AS (SELECT *, chr(64 + "row") || lpad("column"::VARCHAR, 2, '0') AS well, row_number() OVER (PARTITION BY plate ORDER BY CASE WHEN "row" IN (1, 8) OR "column" IN (1, 12) THEN 0 ELSE 1 END, md5('1:' || plate || ':' || ix), ix) - 1 AS place FROM grid),
-free AS (SELECT *, row_number() OVER (PARTITION BY plate ORDER BY md5('1:slot:' || plate || ':' || ix), ix) - 1 AS slot FROM wells WHERE place >= 15),
-placed AS (SELECT (k // 40 + 1)::INT AS plate, r AS replicate, (k % 40) * 2 + r - 1 AS slot, label FROM names, (SELECT unnest([1, 2]) AS r))
-SELECT plate, well, "row", "column", CASE WHEN label IS NULL THEN 'empty' ELSE 'cmpd' END AS type, label, replicate FROM free LEFT JOIN placed USING (plate, slot)
-UNION ALL SELECT plate, well, "row", "column", 'neg', 'DMSO', place + 1 FROM wells WHERE place < 10
-UNION ALL SELECT plate, well, "row", "column", CASE WHEN place < 14 THEN 'pos' ELSE 'empty' END, CASE WHEN place < 14 THEN 'PC_' || ((place - 10) // 2 + 1) END, CASE WHEN place < 14 THEN (place - 10) % 2 + 1 END FROM wells WHERE place BETWEEN 10 AND 14""",
+    "plate_design": _DESIGN,
+    "design_platemap": f"""WITH d AS ({_DESIGN}) SELECT 'P' || lpad(plate::VARCHAR, 2, '0') AS Metadata_Plate, type AS well_type, count(*) AS n, count(DISTINCT label) AS n_perturbations FROM d WHERE type <> 'empty' GROUP BY 1, 2""",
 }

@@ -155,7 +155,7 @@ FROM (SELECT feed, file_seq, field, unnest(v::JSON[]) AS e FROM top WHERE tag =
 ORACLES = {
     "p3_found": _P3,
     "p5_types": f"WITH {_TYPES} SELECT feed, field, tag, count(*) AS n, min(file_seq) AS first_file, max(file_seq) AS last_file FROM parts GROUP BY 1, 2, 3",
-    "p5_lines": "SELECT feed, file_seq, count(*) AS n_lines, count(*) FILTER (record IS NULL OR NOT json_valid(record) OR json_type(record) <> 'OBJECT') AS n_unreadable FROM manifest_files GROUP BY 1, 2",
+    "p5_lines": "SELECT feed, file_seq, count(*) AS n_lines, count(*) FILTER (CASE WHEN record IS NULL OR NOT json_valid(record) THEN true ELSE json_type(record) <> 'OBJECT' END) AS n_unreadable FROM manifest_files GROUP BY 1, 2",
     "p6_found": f"WITH {_P6_CTES} SELECT source_table, row_id FROM alls WHERE NOT ok",
     "p6_by_month": f"""WITH {_P6_CTES} SELECT source_table, strftime(t, '%Y-%m') AS month, count(*) AS n_rows, count(*) FILTER (NOT ok) AS n_orphans,
 round(count(*) FILTER (NOT ok) / count(*), 6) AS orphan_rate FROM alls GROUP BY ALL""",

@@ -76,8 +76,7 @@ def qc_borders(spark, folder):
 
 def qc_red_wells(spark, folder):
     """Wells per plate whose mean slope leaves the narrow band in any channel."""
-    lo, hi = Q.RED_SLOPE
-    red = _wells(spark, folder).filter("metric = 'PowerLogLogSlope'").groupBy("plate", "well").agg(F.bool_or((F.col("value") < lo) | (F.col("value") > hi)).alias("red"))
+    red = Q.red_wells(_wells(spark, folder), ["plate", "well"])
     return red.groupBy("plate").agg(F.count_if("red").alias("n_red"), F.count(F.lit(1)).alias("n_wells"))
 
 
@@ -166,10 +165,10 @@ def cell_counts(spark, folder):
 
 
 def object_filter(spark, folder):
-    """Cells that pass the size and intensity limits, per plate."""
-    area, dim = F.col("AreaShape_Area"), F.col("Intensity_MedianIntensity_Mito")
-    ok = (area >= 1000) & ~F.isnan("AreaShape_Area") & (dim >= 0.05) & ~F.isnan("Intensity_MedianIntensity_Mito")
-    return table(spark, folder, "cells").groupBy(plate_number(F.col("Metadata_Plate")).alias("plate")).agg(F.count_if(F.coalesce(ok, F.lit(False))).alias("n_kept"), F.count(F.lit(1)).alias("n"))
+    """Cells within the limits of those object columns that the table has, per plate."""
+    cells = table(spark, folder, "cells")
+    ok = Q.within(Q.OBJECT_LIMITS, cells.columns)
+    return cells.groupBy(plate_number(F.col("Metadata_Plate")).alias("plate")).agg(F.count_if(ok).alias("n_kept"), F.count(F.lit(1)).alias("n"))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -231,5 +230,5 @@ SELECT plate, channel, object_median, image_median, round(x, 6) AS snr, CASE WHE
     "cell_counts": f"""WITH {_SITES}, w AS (SELECT plate, well, coalesce(sum(Count_Cells), 0) AS c, coalesce(sum(Count_Nuclei), 0) AS n, coalesce(sum(Count_Illum_artifacts), 0) AS a, count(*) AS s FROM sites GROUP BY 1, 2),
 d AS (SELECT *, c / nullif(n, 0) AS ratio, a / (s * 1166400) * 1000 AS density FROM w)
 SELECT plate, well, round(ratio, 6) AS ratio, round(CASE WHEN ratio IS NOT NULL THEN least(1.0, ratio) END, 6) AS ratio_capped, c < 700 AS few_cells, round(density, 9) AS density, CASE WHEN density > 0.05 THEN 'red' WHEN density > 0.02 THEN 'orange' ELSE 'green' END AS density_colour FROM d""",
-    "object_filter": f"SELECT {PLATE} AS plate, count(*) FILTER (AreaShape_Area >= 1000 AND NOT isnan(AreaShape_Area) AND Intensity_MedianIntensity_Mito >= 0.05 AND NOT isnan(Intensity_MedianIntensity_Mito)) AS n_kept, count(*) AS n FROM cells GROUP BY 1",
+    "object_filter": f"SELECT {PLATE} AS plate, count(*) FILTER (AreaShape_Area >= 2000 AND NOT isnan(AreaShape_Area)) AS n_kept, count(*) AS n FROM cells GROUP BY 1",
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,12 +75,29 @@ def wide_manifest(long: DataFrame) -> DataFrame:
     return wide.select(*keys, *[F.col(a).alias(b) for a, b in cols]).join(long.groupBy(*keys).agg(mask.alias("Image_FileName_RNA_mask")), keys)
 
 
+def headers(spark: SparkSession, paths: str | list[str], mark: str, glob: str | None = None) -> list[tuple[str, list[str]]]:
+    """The different header lines of text tables, those lines that hold ``mark``, each with its files."""
+    reader = spark.read.option("recursiveFileLookup", True)
+    lines = (reader.option("pathGlobFilter", glob) if glob else reader).text(paths)
+    found = lines.filter(F.contains("value", F.lit(mark))).select("value", F.col("_metadata.file_path").alias("path")).distinct()
+    by_header = found.groupBy("value").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("value")
+    return [(r["value"], r["paths"]) for r in by_header.collect()]  # paths of the files to read
+
+
 def object_table(spark: SparkSession, paths: str | list[str], features: list[str]) -> DataFrame:
-    """Tab-separated object tables of all batches under each other, with a fixed schema; only wanted columns are kept."""
+    """Tab-separated object tables of all batches under each other; only wanted columns are kept.
+
+    Files are read together with those of equal header and columns taken by name,
+    so batches may order their columns differently.
+    """
     schema = T.StructType([*OBJECT_KEYS, *[T.StructField(f, T.DoubleType()) for f in features]])
-    found = spark.read.csv(paths, sep="\t", header=True, recursiveFileLookup=True)
-    require(found, schema.names, "object table")
-    typed = found.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])
+    parts = []
+    for _, files in headers(spark, paths, "ObjectNumber"):
+        found = require(spark.read.csv(files, sep="\t", header=True, nullValue="NaN"), schema.names, "object table")
+        parts.append(found.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema]))
+    if not parts:
+        raise FileNotFoundError(f"no object tables in {paths}")
+    typed = reduce(DataFrame.unionByName, parts)
     return clean(typed).withColumn("Metadata_Well", F.upper(F.trim("Metadata_Well"))).withColumn("Metadata_Plate", F.trim("Metadata_Plate"))
 
 
@@ -114,23 +132,21 @@ def platemap(spark: SparkSession, path: str | list[str], strict: bool = False) -
 
 
 def profiles(spark: SparkSession, root: str, patterns: tuple[str, ...] = ("*_normalized*.csv", "*_cohort_norm*.csv", "*_red*.csv")) -> DataFrame:
-    """Profile tables below ``root``: those of the first pattern that matches any, joined by column name."""
+    """Profile tables below ``root``: those of the first pattern that matches any, joined by column name.
+
+    Files of equal header are read together.
+    """
     for pattern in patterns:
-        reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).option("header", True)
-        names = reader.format("binaryFile").load(root).select("path")
-        paths = [r.path for r in names.collect()]  # the files of one cohort
-        if paths:
-            parts = [spark.read.csv(p, header=True) for p in sorted(paths)]
-            out = parts[0]
-            for part in parts[1:]:
-                out = out.unionByName(part, allowMissingColumns=True)
+        groups = headers(spark, root, "Metadata_Plate", pattern)
+        if groups:
+            out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [spark.read.csv(files, header=True) for _, files in groups])
             keys = [c for c in out.columns if c.startswith("Metadata_")]
             return clean(out.select(*keys, *[F.col(f"`{c}`").try_cast("double").alias(c) for c in out.columns if c not in keys]))
     raise FileNotFoundError(f"no profiles below {root}")
 
 
 def similarity_matrix(spark: SparkSession, path: str) -> DataFrame:
-    """``label_a, label_b, similarity`` from a square matrix: a label column and one column per row, in the rows' order."""
+    """``label, place, similarity`` from a square matrix: a label column and ``rep_0`` .. ``rep_n``, whose numbers are the places."""
     wide = spark.read.parquet(path)
     label = next((c for c in wide.columns if c in ("compound", "__index_level_0__")), wide.columns[0])
     values = [c for c in wide.columns if c != label and c.startswith("rep_")]
