@@ -27,24 +27,48 @@ def long_form(df: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
 
 
 def value_bucket(value: str) -> Column:
-    """A bucket number that does not decrease with the value (1/256 of a logarithm wide)."""
-    return F.signum(value) * F.floor(F.log1p(F.least(F.abs(F.col(value)), F.lit(1e300)) * 1e6) * 256)
+    """A bucket number that does not decrease with the value (0.4 % of the value wide, at any magnitude)."""
+    size = F.floor(F.ln(F.greatest(F.abs(F.col(value)), F.lit(1e-300))) * 256) + 180_000  # positive for every double
+    return F.when(F.col(value) == 0, F.lit(0)).otherwise(F.signum(value) * size).cast("int")
+
+
+#: rows of a table that is broadcast after they are counted
+BROADCAST_ROWS = 200_000
+#: parts that an interval of values is divided into
+FINER = 4_096
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if it is found to be small."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def order_statistics(df: DataFrame, keys: list[str], value: str, ranks: DataFrame) -> DataFrame:
     """``*keys, rank, v``: the values of given ranks (from 0) per group, exactly.
 
-    ``ranks`` has ``*keys, rank``.  Values are counted by bucket; only the bucket
-    that holds a rank is ordered, by distinct value.
+    ``ranks`` has ``*keys, rank``.  Rows are counted by bucket in one pass without
+    being moved; then only the values of the buckets that hold a rank are looked
+    at, in ever finer intervals until one holds at most ``DIRECT_ROWS`` rows, and
+    these are ordered by distinct value.
     """
-    counted = df.select(*keys, F.col(value).alias("v"), value_bucket(value).alias("b")).groupBy(*keys, "b", "v").count()
-    coarse = counted.groupBy(*keys, "b").agg(F.sum("count").alias("n"))
-    before = F.sum("n").over(Window.partitionBy(*keys).orderBy("b").rowsBetween(Window.unboundedPreceding, -1))
-    placed = coarse.withColumn("before", F.coalesce(before, F.lit(0)))
-    target = placed.join(ranks, keys).filter("rank >= before and rank < before + n").select(*keys, "b", "rank", (F.col("rank") - F.col("before")).alias("within"))
-    fine = counted.join(target.select(*keys, "b").distinct(), [*keys, "b"], "left_semi")
-    upto = F.sum("count").over(Window.partitionBy(*keys, "b").orderBy("v"))
-    return fine.withColumn("upto", upto).join(target, [*keys, "b"]).filter("within < upto and within >= upto - count").select(*keys, "rank", "v")
+    here = [*keys, "rank"]
+    shape = [F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")]
+    values = df.select(*keys, F.col(value).alias("v"))
+    ahead = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    coarse = values.groupBy(*keys, value_bucket("v").alias("b")).agg(*shape).withColumn("before", ahead(Window.partitionBy(*keys).orderBy("b")))
+    target = coarse.join(ranks, keys).filter("rank >= before and rank < before + n").select(*here, "n", "lo", "hi", (F.col("rank") - F.col("before")).alias("within"))
+    target = cut(target)
+    while not target.filter((F.col("n") > DIRECT_ROWS) & (F.col("lo") < F.col("hi"))).isEmpty():
+        near = values.join(_small(target), keys).filter("v >= lo and v <= hi")
+        part = F.floor(F.coalesce(F.try_divide(F.col("v") - F.col("lo"), F.col("hi") - F.col("lo")), F.lit(0.0)) * FINER).cast("int")
+        fine = near.groupBy(*here, "within", part.alias("b")).agg(*shape).withColumn("before", ahead(Window.partitionBy(*here).orderBy("b")))
+        narrower = cut(fine.filter("within >= before and within < before + n").select(*here, "n", "lo", "hi", (F.col("within") - F.col("before")).alias("within")), looping=True)
+        if narrower.join(target.select(*here, F.col("n").alias("was")), here).filter("n < was").isEmpty():
+            break  # equal or adjacent values only
+        target = narrower
+    counted = values.join(_small(target), keys).filter("v >= lo and v <= hi").groupBy(*here, "within", "v").count()
+    upto = F.sum("count").over(Window.partitionBy(*here).orderBy("v"))
+    return counted.withColumn("upto", upto).filter("within < upto and within >= upto - count").select(*here, "v")
 
 
 def quantiles(df: DataFrame, keys: list[str], value: str, wanted: dict[str, float]) -> DataFrame:
@@ -54,11 +78,15 @@ def quantiles(df: DataFrame, keys: list[str], value: str, wanted: dict[str, floa
     """
     df = df.filter(F.col(value).isNotNull())
     sizes = cut(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
-    hot = sizes.filter(F.col("n") > DIRECT_ROWS).select(*keys)
-    if hot.isEmpty():
+    hot = sizes.filter(F.col("n") > DIRECT_ROWS)
+    every, many = sizes.count(), hot.count()
+    if not many:
         return _direct_quantiles(df, keys, value, wanted)
-    cool = _direct_quantiles(df.join(hot, keys, "left_anti"), keys, value, wanted)
-    return cool.unionByName(_ordered_quantiles(df.join(hot, keys, "left_semi"), keys, value, wanted, sizes.filter(F.col("n") > DIRECT_ROWS)))
+    if many == every:
+        return _ordered_quantiles(df, keys, value, wanted, sizes)
+    some = F.broadcast(hot.select(*keys)) if many <= BROADCAST_ROWS else hot.select(*keys)
+    cool = _direct_quantiles(df.join(some, keys, "left_anti"), keys, value, wanted)
+    return cool.unionByName(_ordered_quantiles(df.join(some, keys, "left_semi"), keys, value, wanted, hot))
 
 
 def _direct_quantiles(df: DataFrame, keys: list[str], value: str, wanted: dict[str, float]) -> DataFrame:
@@ -86,15 +114,10 @@ def medians(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
 def median_and_mad(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """``*keys, n, med, mad``: median and raw median absolute deviation."""
     center = cut(medians(df, keys, value, "med"))
-    off = df.join(center.select(*keys, "med"), keys).withColumn("off", F.abs(F.col(value) - F.col("med")))
+    off = df.join(_small(center.select(*keys, "med")), keys).withColumn("off", F.abs(F.col(value) - F.col("med")))
     return center.join(medians(off, keys, "off", "mad").drop("n"), keys)
 
 
-def small_medians(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    """Medians of groups that are small by construction (images, replicates), in one aggregation."""
-    return df.groupBy(*keys).agg(F.median(value).alias(name))
-
-
 def clip(c: Column, lo: Column | float, hi: Column | float) -> Column:
     """``c`` held within bounds; null stays null."""
     low, high = (x if isinstance(x, Column) else F.lit(x) for x in (lo, hi))
