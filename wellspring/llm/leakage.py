@@ -2,8 +2,11 @@
 
 Every stretch of ``run`` words of an item is a pattern.  Blocks of two words
 have a shift: how far the search may jump because no pattern can end sooner.
-Blocks without a shift select by their hash the few places in the items that
-may end there, and direct comparison confirms them.
+Blocks without a shift select by their hash, together with that of the pattern's
+first words, the few places in the items that may end there, and direct
+comparison confirms them.  With words as letters the alphabet is so large that
+blocks of two suffice at any number of patterns; the second hash keeps frequent
+pairs of words from being compared with every place they end in.
 """
 
 from __future__ import annotations
@@ -23,9 +26,9 @@ ITEM_CHARS = 20_000_000  # items whose tables one task holds; more are searched
 
 
 def shift_tables(items: list[tuple[int, list[str]]], run: int) -> tuple[dict, dict]:
-    """Shift of each block of words, and for blocks of shift 0 the (item, end) places of patterns."""
+    """Shift of each block of words, and for blocks of shift 0, by the pattern's first words, the (item, end) places of patterns."""
     shift: dict[tuple[str, str], int] = {}
-    bucket: dict[tuple[str, str], list[tuple[int, int]]] = {}
+    bucket: dict[tuple[str, str], dict[tuple[str, str], list[tuple[int, int]]]] = {}
     for at, (_, w) in enumerate(items):
         if len(w) < run:
             continue
@@ -35,7 +38,8 @@ def shift_tables(items: list[tuple[int, list[str]]], run: int) -> tuple[dict, di
             far = max(0, run - 1 - end)
             shift[block] = min(shift.get(block, run), far)
             if end >= run - 1:
-                bucket.setdefault(block, []).append((at, end))
+                prefix = (w[end - run + 1], w[end - run + 2])
+                bucket.setdefault(block, {}).setdefault(prefix, []).append((at, end))
     return shift, bucket
 
 
@@ -49,7 +53,7 @@ def find_items(text: list[str], items: list[tuple[int, list[str]]], shift: dict,
         if move:
             at += move
             continue
-        for k, end in bucket[block]:
+        for k, end in bucket[block].get((text[at - run + 1], text[at - run + 2]), ()):
             item, w = items[k]
             if text[at - run + 1 : at + 1] == w[end - run + 1 : end + 1]:
                 size = run

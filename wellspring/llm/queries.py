@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wellspring.functions.keys import perturbation_key, plate_number, well_name
 from wellspring.llm.clusters import describe, linked_clusters, ward_division
@@ -12,6 +13,8 @@ from wellspring.llm.mixing import mix
 from wellspring.llm.neighbours import ForestPlan, nearest, nearest_exact, pairs_above, unit_vectors
 from wellspring.llm.percentiles import combine, count_values, percentiles
 from wellspring.llm.truncation import find_truncated
+from wellspring.operators.stats import long_form, order_statistics
+from wellspring.plans.objects import PLATE, WELL
 from wellspring.plans.tables import table
 from wellspring.session import cut
 
@@ -60,6 +63,11 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return _linked(spark, folder).select(F.col("id").alias("profile_id"), "cluster_key")
 
 
+def p2_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """Size of every linked cluster."""
+    return _linked(spark, folder).groupBy("cluster_key").agg(F.count(F.lit(1)).alias("size"))
+
+
 def p2_clusters(spark: SparkSession, folder: str) -> DataFrame:
     """Linked clusters with size and most typical members."""
     vectors = unit_vectors(table(spark, folder, "profiles"), "profile_id", "features", DIMS)
@@ -136,6 +144,26 @@ def p4_daily(spark: SparkSession, folder: str) -> DataFrame:
     return percentiles(p4_sketches(spark, folder), ["day", *KEYS], AT, AT_NAMES)
 
 
+def p4_checked(spark: SparkSession, folder: str) -> DataFrame:
+    """Per grouping and feature the percentiles of :func:`p4_percentiles` further than 1 % from the exact order statistics."""
+    found = p4_percentiles(spark, folder)
+    at = F.array(*[F.struct(F.floor(F.lit(q) * (F.col("n") - 1)).cast("long").alias("rank"), F.col(name).alias("told")) for q, name in zip(AT, AT_NAMES)])
+    told = cut(found.select("by", *KEYS, "feature", "n", F.explode(at).alias("a")).select("by", *KEYS, "feature", "n", "a.*").distinct())
+    plate, well, perturbation = plate_number(F.col("Metadata_Plate")).alias("plate"), well_name(F.col("Metadata_Well")).alias("well"), perturbation_key(F.col("Metadata_Perturbation")).alias("perturbation")
+    long = long_form(table(spark, folder, "cells").select(plate, well, perturbation, *CELL_FEATURES), KEYS, CELL_FEATURES)
+    out = None
+    for by, keys in GROUPINGS.items():
+        own = [k for k in keys if k != "day"] + ["feature"]
+        asked = told.filter(F.col("by") == by)
+        rows = long.filter(" and ".join(f"{k} is not null" for k in own))
+        exact = order_statistics(rows, own, "value", asked.select(*own, "rank").distinct())
+        off = F.abs(F.col("told") - F.col("v")) > 0.01 * F.abs(F.col("v")) * (1 + 1e-9)
+        both = asked.join(exact, [*own, "rank"]).groupBy(*own).agg(F.max("n").alias("n"), F.count_if(off).alias("beyond"))
+        part = both.groupBy("feature").agg(F.count(F.lit(1)).alias("n_groups"), F.sum("n").alias("n_values"), F.sum("beyond").alias("n_beyond")).select(F.lit(by).alias("by"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _mixed(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets"), "doc_id", "source", "text")
 
@@ -150,6 +178,19 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
     return _mixed(spark, folder)[1]
 
 
+def p8_checked(spark: SparkSession, folder: str) -> DataFrame:
+    """Per source of the targets: its documents, whether no document is used too often, and whether its share is within 0.02 of its goal."""
+    rows, reached = _mixed(spark, folder)
+    docs = table(spark, folder, "documents").filter("text is not null").groupBy("source").agg(F.count(F.lit(1)).alias("n_documents"))
+    used = rows.groupBy("source", "doc_id").agg(F.count(F.lit(1)).alias("n")).groupBy("source").agg(F.max("n").alias("most"))
+    targets = table(spark, folder, "mix_targets")
+    out = targets.join(docs, "source", "left").join(used, "source", "left").join(reached.select("source", "actual_share"), "source", "left")
+    present = F.sum(F.when(F.col("n_documents") > 0, F.col("target_share"))).over(Window.partitionBy())  # one row per source
+    goal = F.when(F.col("n_documents") > 0, F.col("target_share") / present).otherwise(0.0)
+    near = F.abs(F.coalesce("actual_share", F.lit(0.0)) - goal) <= 0.02
+    return out.select("source", F.coalesce("n_documents", F.lit(0)).alias("n_documents"), (F.coalesce("most", F.lit(0)) <= F.col("max_repeats")).alias("within_repeats"), near.alias("near_goal"))
+
+
 def _leaks(spark: SparkSession, folder: str) -> DataFrame:
     return find_leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"), "doc_id", "text", "item_id", "text")
 
@@ -181,13 +222,23 @@ def p9_rates(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_neighbours, p1_recall, p2_found, p2_clusters, p2_division, p2_compared, p2_division_compared, p4_percentiles, p4_daily, p4_sketches, p7_found, p7_items, p8_mix, p8_shares, p9_found, p9_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_neighbours, p1_recall, p2_found, p2_sizes, p2_clusters, p2_division, p2_compared, p2_division_compared, p4_percentiles, p4_daily, p4_sketches, p4_checked, p7_found, p7_items, p8_mix, p8_shares, p8_checked, p9_found, p9_rates)}
 _UNIT = """v AS (SELECT profile_id AS id, features::DOUBLE[] AS f FROM profiles WHERE len(features) = 64 AND len(list_filter(features, lambda v: v IS NULL OR NOT isfinite(v))) = 0 AND len(list_filter(features, lambda v: v <> 0)) > 0),
 u AS (SELECT id, list_transform(f, lambda x: x / sqrt(list_dot_product(f, f))) AS u FROM v)"""
 
+_LINKED = f"""WITH RECURSIVE {_UNIT}, links AS (SELECT a.id AS a, b.id AS b FROM u a JOIN u b ON a.id <> b.id WHERE list_dot_product(a.u, b.u) >= 0.80),
+walk(id, reach) AS (SELECT id, id FROM u UNION SELECT w.id, l.b FROM walk w JOIN links l ON w.reach = l.a),
+found AS (SELECT id AS profile_id, min(reach) AS cluster_key FROM walk GROUP BY 1 HAVING count(*) >= 10)"""
+_LONG = f"""k AS (SELECT {PLATE} AS plate, {WELL} AS well, upper(trim(Metadata_Perturbation)) AS perturbation, {', '.join(CELL_FEATURES)} FROM cells),
+long AS (SELECT * FROM (UNPIVOT k ON {', '.join(CELL_FEATURES)} INTO NAME feature VALUE v) WHERE NOT isnan(v))"""
+_COUNTS = " UNION ALL ".join(
+    f"SELECT '{by}' AS by, feature, count(*) AS n_groups, sum(n) AS n_values, 0 AS n_beyond FROM (SELECT {keys}, feature, count(*) AS n FROM long WHERE {' AND '.join(f'{x} IS NOT NULL' for x in keys.split(', '))} GROUP BY ALL) GROUP BY feature"
+    for by, keys in (("plate", "plate"), ("perturbation", "perturbation"), ("plate_well", "plate, well")))
+
 ORACLES: dict[str, str] = {
     "p1_found": f"WITH {_UNIT} SELECT a.id AS profile_id_a, b.id AS profile_id_b FROM u a JOIN u b ON a.id < b.id WHERE list_dot_product(a.u, b.u) >= 0.96",
-    "p2_found": f"""WITH RECURSIVE {_UNIT}, links AS (SELECT a.id AS a, b.id AS b FROM u a JOIN u b ON a.id <> b.id WHERE list_dot_product(a.u, b.u) >= 0.80),
-walk(id, reach) AS (SELECT id, id FROM u UNION SELECT w.id, l.b FROM walk w JOIN links l ON w.reach = l.a)
-SELECT id AS profile_id, min(reach) AS cluster_key FROM walk GROUP BY 1 HAVING count(*) >= 10""",
+    "p2_found": f"{_LINKED} SELECT * FROM found",
+    "p2_sizes": f"{_LINKED} SELECT cluster_key, count(*) AS size FROM found GROUP BY 1",
+    "p4_checked": f"WITH {_LONG} {_COUNTS}",
+    "p8_checked": """SELECT t.source, count(doc_id) AS n_documents, true AS within_repeats, true AS near_goal FROM mix_targets t LEFT JOIN (SELECT * FROM documents WHERE text IS NOT NULL) d USING (source) GROUP BY 1""",
 }
