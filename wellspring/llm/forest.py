@@ -90,9 +90,9 @@ def search(forest: list[Tree], x: np.ndarray, leaves: int) -> tuple[np.ndarray,
     """For each row the ``leaves`` best leaves over all trees: (tree, leaf), each (rows, leaves), -1 if fewer.
 
     One queue per row is shared by all trees.  It starts with every root; the
-    entry that lies least far on the wrong side of its hyperplanes is taken
-    next, followed down to a leaf, and the siblings passed by are queued.  All
-    rows of the batch advance together.
+    entry that lies least far on the wrong side of its hyperplanes (by the sum of
+    the squared distances) is taken next, followed down to a leaf, and the
+    siblings passed by are queued.  All rows of the batch advance together.
     """
     n = len(x)
     every = np.arange(n)
@@ -123,6 +123,6 @@ def search(forest: list[Tree], x: np.ndarray, leaves: int) -> tuple[np.ndarray,
             paid = np.full(n, 0, np.float32)
             paid[rows] = np.maximum(price[rows], 0)
             leaf = np.full(n, -1, np.int32)
-            _descend(tree, x, rows, node[rows, best[rows]], leaf, lambda r, far, m, t=t, paid=paid: push(r, t, far, np.maximum(paid[r], m)))
+            _descend(tree, x, rows, node[rows, best[rows]], leaf, lambda r, far, m, t=t, paid=paid: push(r, t, far, paid[r] + m * m))
             out_tree[rows, k], out_leaf[rows, k] = t, leaf[rows]
     return out_tree, out_leaf

@@ -264,10 +264,21 @@ LIKELY = "id long, other long, least double, most double"
 def _likely(dims: int, k: int):
     """Per query the rows that may be among its ``k`` best of these leaves, with bounds of their cosines; and how many it saw."""
 
+    def best(a, b, low, high):
+        """Of each query those whose upper bound reaches its ``k``-th lower bound."""
+        order = np.lexsort((-low, a))
+        a, b, low, high = a[order], b[order], low[order], high[order]
+        start = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
+        size = np.diff(np.r_[start, len(a)])
+        floor = np.where(size >= k, low[np.minimum(start + k - 1, len(a) - 1)], -2.5)
+        keep = high >= np.repeat(floor, size)
+        return a[keep], b[keep], low[keep], high[keep]
+
     def run(t: pa.Table) -> pa.Table:
         pairs, ids, x, error = _leaves(t, dims)
-        parts = []
+        parts, seen = [], np.zeros(len(ids))
         for q, i in pairs:
+            seen[q] += len(i)
             for lo in range(0, len(q), 512):
                 r = q[lo : lo + 512]
                 s, w = x[r] @ x[i].T, slack(error[r], error[i])
@@ -276,8 +287,10 @@ def _likely(dims: int, k: int):
                 floor = np.partition(low, len(i) - k, axis=1)[:, len(i) - k] if len(i) > k else np.full(len(r), -2.5)
                 a, b = np.nonzero((s + w >= floor[:, None]) & (s > -2.5))
                 parts.append((ids[r[a]], ids[i[b]], low[a, b], (s + w)[a, b]))
-                parts.append((ids[r], np.full(len(r), -1), np.full(len(r), float(len(i))), np.zeros(len(r))))
-        a, b, low, high = (np.concatenate(c) for c in zip(*parts)) if parts else (np.zeros(0),) * 4
+        found = tuple(np.concatenate(c) for c in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 2 + (np.zeros(0),) * 2
+        found = best(*found) if len(found[0]) else found
+        saw = np.flatnonzero(seen)
+        a, b, low, high = (np.concatenate(c) for c in zip(found, (ids[saw], np.full(len(saw), -1), seen[saw], np.zeros(len(saw)))))
         return pa.table({"id": pa.array(a.astype(np.int64)), "other": pa.array(b.astype(np.int64)), "least": pa.array(low.astype(np.float64)), "most": pa.array(high.astype(np.float64))})
 
     return run

@@ -20,7 +20,7 @@ from wellspring.session import cut
 
 DIMS = 64
 #: about half of the profiles are isotropic, their ten nearest hard to tell from the rest: many small leaves are searched, fewer of them the more rows there are
-WIDE = ForestPlan(trees=32, leaf_rows=128, probes=176, growth=0.55)
+WIDE = ForestPlan(trees=32, leaf_rows=128, probes=200, growth=0.55, range_rows=16_384)
 QUERY_SET = 50
 
 
