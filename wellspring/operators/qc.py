@@ -193,7 +193,7 @@ def band(value: Column, low: float, high: float, stops: list[tuple[float, str]])
 def worst(colour: Column) -> Column:
     """The worst colour of a group: red before yellow before green; null without any."""
     rank = F.max(F.when(colour == "red", 3).when(colour == "yellow", 2).when(colour == "green", 1))
-    return F.element_at(F.array(F.lit("green"), F.lit("yellow"), F.lit("red")), rank)
+    return F.when(rank == 3, "red").when(rank == 2, "yellow").when(rank == 1, "green")
 
 
 def within(limits: dict[str, tuple[float | None, float | None]], columns: list[str]) -> Column:
