@@ -94,6 +94,18 @@ def test_cluster_features_add_up_and_merge():
     assert np.allclose(ls.sum(0), x.sum(0)) and np.isclose(ss.sum(), (x**2).sum())
 
 
+def test_rows_inserted_together_add_up():
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(size=(40, 6)), np.repeat(rng.normal(size=(30, 6)), 40, 0) + rng.normal(scale=0.02, size=(1200, 6))])
+    tree = CFTree(6, 0.5, 150)
+    tree.insert_rows(x, 64)
+    n, ls, ss = tree.features()
+    assert tree.leaves == len(n) <= 150 and n.sum() == len(x) and np.allclose(ls.sum(0), x.sum(0)) and np.isclose(ss.sum(), (x**2).sum())
+    for node in [tree.root]:
+        assert node.leaf or np.allclose(node.total()[1], x.sum(0))
+    assert (ss / n - (ls * ls).sum(1) / n**2 <= tree.radius**2 + 1e-9).all()
+
+
 def test_ward_separates_and_stops():
     centres = np.array([[0, 0], [0, 0.1], [5, 5], [5, 5.1], [9, 0.0]])
     label = ward(np.array([3, 1, 2, 2, 1.0]), centres * np.array([[3], [1], [2], [2], [1]]), 3)

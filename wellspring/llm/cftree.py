@@ -99,6 +99,48 @@ class CFTree:
         if self.leaves > self.most:
             self.coarsen()
 
+    def insert_rows(self, x: np.ndarray, chunk: int = 512) -> None:
+        """Rows of ``x`` one after the other, those of a chunk that their nearest leaves can take together at once."""
+        for lo in range(0, len(x), chunk):
+            part = x[lo : lo + chunk]
+            rest = np.arange(len(part))
+            if self.leaves >= FAN:
+                nodes = self._leaf_nodes()
+                n, ls, ss = (np.concatenate([getattr(v, name)[: v.k] for v in nodes]) for name in ("n", "ls", "ss"))
+                mean, sq = (np.concatenate([getattr(v, name)[: v.k] for v in nodes]) for name in ("mean", "sq"))
+                near = (sq[None] - 2 * part @ mean.T).argmin(1)
+                more = np.bincount(near, minlength=len(n))
+                at, of = np.unique(near, return_inverse=True)
+                total, joint, squares = n[at] + more[at], ls[at].copy(), ss[at].copy()
+                np.add.at(joint, of, part)
+                np.add.at(squares, of, (part * part).sum(1))
+                fits = squares / total - (joint * joint).sum(1) / total**2 <= self.radius**2
+                if fits.any():
+                    first = np.cumsum([0] + [v.k for v in nodes])
+                    owner = np.searchsorted(first, at, "right") - 1
+                    for k in np.flatnonzero(fits):
+                        nodes[owner[k]].put(int(at[k] - first[owner[k]]), total[k], joint[k], squares[k])
+                    self._resum(self.root)
+                    rest = np.flatnonzero(~fits[of])
+            for i in rest:
+                self.insert(1.0, part[i], float(part[i] @ part[i]))
+
+    def _leaf_nodes(self) -> list[_Node]:
+        out, stack = [], [self.root]
+        while stack:
+            node = stack.pop()
+            if node.leaf:
+                out.append(node)
+            else:
+                stack += node.child[::-1]
+        return out
+
+    def _resum(self, node: _Node) -> None:
+        if not node.leaf:
+            for i, child in enumerate(node.child):
+                self._resum(child)
+                node.put(i, *child.total())
+
     def coarsen(self) -> None:
         n, ls, ss = self.features()
         while True:
@@ -123,14 +165,8 @@ class CFTree:
             n, ls, ss = self.features()
 
     def features(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        out, stack = [], [self.root]
-        while stack:
-            node = stack.pop()
-            if node.leaf:
-                out.append((node.n[: node.k], node.ls[: node.k], node.ss[: node.k]))
-            else:
-                stack += node.child[::-1]
-        return tuple(np.concatenate(x) for x in zip(*out))
+        nodes = self._leaf_nodes()
+        return tuple(np.concatenate([getattr(v, name)[: v.k] for v in nodes]) for name in ("n", "ls", "ss"))
 
 
 def merges_of(n: np.ndarray, ls: np.ndarray) -> list[tuple[float, int, int]]:

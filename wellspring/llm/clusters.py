@@ -74,8 +74,7 @@ def summarise(vectors: DataFrame, plan: ClusterPlan, dims: int, rows: int) -> Da
         for b in batches:
             if b.num_rows:
                 part = b.column("part")[0].as_py()
-            for row in matrix(b.column("vec"), dims).astype(np.float64):
-                tree.insert(1.0, row, float(row @ row))
+            tree.insert_rows(matrix(b.column("vec"), dims).astype(np.float64))
         yield from _as_table(tree, {"part": part}).to_batches()
 
     def merge(t: pa.Table) -> pa.Table:
@@ -275,8 +274,7 @@ def _smallest(ids: np.ndarray, label: np.ndarray) -> np.ndarray:
 def _clusters_of_cell(x: np.ndarray, plan: ClusterPlan) -> np.ndarray:
     """The division of one cell: each row's cluster, by a cluster-feature tree and Ward's agglomeration of its leaves."""
     tree = CFTree(x.shape[1], plan.radius, 1 << 60)
-    for row in x:
-        tree.insert(1.0, row, float(row @ row))
+    tree.insert_rows(x)
     n, ls, _ = tree.features()
     label = ward_mutual(n, ls, plan.mutual)
     centre = ls / np.maximum(np.linalg.norm(ls, axis=1, keepdims=True), 1e-300)
