@@ -75,7 +75,6 @@ def _moved(links: DataFrame, state: DataFrame) -> DataFrame:
         if turn < HALVES:
             free = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(2)) == 0
         else:
-            best = cut(best, looping=True)
             touched = best.filter("wants").select("grp", "node", "gain", F.explode(F.array("own", "best")).alias("home"))
             first = touched.groupBy("grp", "home").agg(F.max_by("node", F.struct("gain", "node")).alias("node")).groupBy("grp", "node").agg((F.count(F.lit(1)) == 2).alias("free"))
             best, free = best.join(first, ["grp", "node"], "left"), F.coalesce("free", F.lit(False))
