@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wellspring.functions.keys import plate_number, well_name
 from wellspring.operators import qc as Q
-from wellspring.operators.stats import clip, long_form, medians
+from wellspring.operators.stats import clip, half_away, long_form, medians
 from wellspring.plans.objects import PLATE, WELL
 from wellspring.plans.tables import table
 from wellspring.session import cut
@@ -32,10 +32,16 @@ def _wells(spark, folder) -> DataFrame:
 
 
 def qc_aggregate(spark, folder):
-    """Means of readings and sums of counts per plate and well in one aggregation; a sum of nothing is 0."""
+    """Means of readings and sums of counts per plate and well in one aggregation; a sum of nothing is 0.
+
+    Readings are added in the order of their ids, row by row and without partial
+    sums: means of few readings often lie half way between two results, where the
+    last bit of the sum decides.
+    """
     number = lambda c: F.nanvl(F.col(c), F.lit(None).cast("double"))
     finite = lambda c: F.when(F.abs(number(c)) < float("inf"), number(c))
-    return _sites(spark, folder).groupBy("plate", "well").agg(*[F.round(F.avg(finite(c)), 6).alias(c) for c in COLUMNS], *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS])
+    sites = _sites(spark, folder).repartition("plate", "well").sortWithinPartitions("plate", "well", "qc_id")
+    return sites.groupBy("plate", "well").agg(*[half_away(F.avg(finite(c)), 6).alias(c) for c in COLUMNS], *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS])
 
 
 def qc_verdicts(spark, folder):
