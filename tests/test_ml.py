@@ -57,6 +57,49 @@ def test_silhouette_query_scores_every_profile(spark, tmp_path):
         assert abs(got[i] - (b - a) / max(a, b)) < 1e-5
 
 
+def silhouette_of(rows):
+    """By all distances; rows of one id and label count together, as in the SQL."""
+    x, c = np.array([r[3] for r in rows]), np.array([r[1] for r in rows])
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    out = {}
+    for key in {(r[0], r[1]) for r in rows}:
+        mine = [i for i, r in enumerate(rows) if (r[0], r[1]) == key]
+        total = {k: d[np.ix_(mine, c == k)] for k in {*c}}
+        n = total[key[1]].size - 1
+        a, b = total[key[1]].sum() / n if n else None, min(v.mean() for k, v in total.items() if k != key[1])
+        out[key] = 0 if a is None or not max(a, b) else (b - a) / max(a, b)
+    return out
+
+
+def test_silhouette_of_cut_labels_equal_rows_and_equal_ids(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, f"L{min(i % 23, 9)}", "g", (rng.normal(size=6) + i % 3).tolist()) for i in range(400)]  # L9 has most rows
+    rows += [(3, "L3", "g", rng.normal(size=6).tolist()), (3, "L9", "g", rng.normal(size=6).tolist()), (5, "L5", "g", rng.normal(size=6).tolist())]
+    rows += [(1_000 + i, "L9" if i % 2 else "L1", "g", rows[7][3]) for i in range(6)] + [(2_000 + i, f"only{i}", "g", rng.normal(size=6).tolist()) for i in range(20)]
+    rows += [(3_000 + i, f"far{i % 2}", "g", (1e7 + (i % 2) * 1e-3 + 1e-3 * rng.normal(size=6)).tolist()) for i in range(12)]
+    rows += [(4_000 + i, f"L{i}", "g", [float(i)] * 6) for i in range(6)]  # floats among doubles
+    packed = M.packed(spark.createDataFrame(rows, SCHEMA), "id", "label", "f", 6)
+    want = silhouette_of(rows)
+    for block in (16, 100, 32_768):
+        got = {(r.id, r.label): r.silhouette for r in M.silhouettes(packed, 6, block=block).collect()}
+        assert got.keys() == want.keys() and max(abs(got[k] - want[k]) for k in want) < 2e-6
+
+
+def test_silhouette_shuffles_rows_once(spark):
+    rng = np.random.default_rng(12)
+    df = spark.createDataFrame([(i, f"L{i % 40}", "g", rng.normal(size=32).tolist()) for i in range(2_000)], SCHEMA)
+    packed = M.packed(df, "id", "label", "f", 32)
+
+    def written():
+        context = spark._jsc.sc()
+        context.listenerBus().waitUntilEmpty(30_000)
+        return sum(e.totalShuffleWrite() for e in [context.statusStore().executorSummary("driver")])
+
+    before = written()
+    assert M.silhouettes(packed, 32, block=100).count() == 2_000
+    assert written() - before < 2_000 * 32 * 8 * 3  # 20 blocks; a copy for each would be 20 times the rows
+
+
 def test_percent_replicating_tells_replicates_from_noise(spark):
     rng = np.random.default_rng(5)
     rows = []
